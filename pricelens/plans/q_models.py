@@ -26,7 +26,7 @@ from ..registry import register
 from ..schema import ID, LABEL, MARKET_FACTOR, PARAM_GRIDS, SEED
 from ..session import cut_lineage
 from ..sources.artifacts import artifact_dir, load_artifacts
-from ..sources.listings import raw_listings
+from .q_serve import requests
 from ..plans.score import predict, score_requests
 from ..plans.train import train as train_job
 from .common import clean
@@ -56,7 +56,9 @@ def _one_feature(df, col):
 def flagship_scores(spark, sf_dir, family: str = "Linear Regression"):
     """Clean listings, fit the narrow pipeline and a regressor on the training
     split, and price every clean listing (prediction and market-adjusted)."""
-    df = clean(spark, sf_dir)
+    # The clean table feeds four passes (index, scale, fit, score): write it
+    # once to the checkpoint folder instead of re-running scan and joins.
+    df = cut_lineage(clean(spark, sf_dir))
     prep = prepare(df, "narrow")
     est = {"Linear Regression": LinearRegression, "Random Forest": RandomForestRegressor,
            "Gradient Boosting": GBTRegressor}[family](featuresCol=SCALED, labelCol=LABEL)
@@ -247,5 +249,5 @@ def q_score_from_saved(spark, sf_dir):
     out = artifact_dir(spark, "score_from_saved")
     train_job(clean(spark, sf_dir), out, "narrow", tune=False, save_clean=False)
     art = load_artifacts(spark, out)
-    scored, _ = score_requests(raw_listings(spark, sf_dir), art)
+    scored, _ = score_requests(requests(spark, sf_dir), art)
     return scored

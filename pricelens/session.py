@@ -22,6 +22,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a wide
+    # cleaning projection fused with a join exceeds that and would then run
+    # in the bytecode interpreter.  Above this size Spark splits the stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -73,5 +77,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the cluster has cores.
+
+    A big input already has many more splits than cores and passes through
+    untouched; only a small file with a few row groups (which parquet cannot
+    split further) is spread so every core gets a share of the row work.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def sf_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import CLEAN_SCHEMA, ID, RAW_COLUMNS, RAW_SCHEMA
-from ..session import sf_path
+from ..session import sf_path, spread
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                     "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -29,7 +29,7 @@ def _joined_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     are sort-merge joins on the key, and skewed key partitions are split by
     the AQE skew-join rule.
     """
-    li = spark.read.parquet(sf_path(sf_dir, "lineitem")).select(*LINEITEM_COLUMNS)
+    li = spread(spark.read.parquet(sf_path(sf_dir, "lineitem")).select(*LINEITEM_COLUMNS))
     orders = spark.read.parquet(sf_path(sf_dir, "orders")).select(*ORDERS_COLUMNS)
     part = spark.read.parquet(sf_path(sf_dir, "part")).select(*PART_COLUMNS)
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)

@@ -35,6 +35,11 @@ MODEL_CLASSES = {
     "Gradient Boosting": GBTRegressionModel,
 }
 
+# How tree learners execute (not what they learn): keep each row's node id
+# cached between levels instead of re-walking every tree per pass, and let
+# one pass over the data split more nodes at once.
+TREE_EXECUTION = dict(cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
+
 METRICS_TABLE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
     T.StructField("model_order", T.IntegerType()),
@@ -58,9 +63,9 @@ def estimator(name: str, features_col: str = SCALED, label: str = LABEL, seed: i
     cls = family_of(name)
     kw = dict(featuresCol=features_col, labelCol=label)
     if name == "Random Forest":
-        kw.update(numTrees=RF_TREES, seed=seed)
+        kw.update(numTrees=RF_TREES, seed=seed, **TREE_EXECUTION)
     elif name == "Gradient Boosting":
-        kw.update(maxIter=GBT_ROUNDS, seed=seed)
+        kw.update(maxIter=GBT_ROUNDS, seed=seed, **TREE_EXECUTION)
     kw.update(params)
     return cls(**kw)
 

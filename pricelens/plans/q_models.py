@@ -99,6 +99,29 @@ def q_regression_metrics(spark, sf_dir):
                     F.round("r2", 10).alias("r2"), "n")
 
 
+@register("json_meta_roundtrip", with_listings(_GROUP_MEAN_SQL + """
+, scored AS (SELECT t.AskPrice, m.prediction FROM test t JOIN means m USING (Year))
+SELECT 'group_mean_tree' AS model_name,
+ round(sqrt(avg((AskPrice - prediction)^2)), 6) AS RMSE,
+ round(1 - sum((AskPrice - prediction)^2) / (var_pop(AskPrice) * count(*)), 10) AS R2,
+ round(avg(abs(AskPrice - prediction)), 6) AS MAE
+FROM scored"""))
+def q_json_meta_roundtrip(spark, sf_dir):
+    """Run metadata (model name, metrics struct, creation time) written as JSON and read back."""
+    from ..operators.metrics import collect_metrics
+    from ..sources.artifacts import load_metadata, metadata_frame, save_metadata
+    train, test = split(clean(spark, sf_dir))
+    rf = RandomForestRegressor(featuresCol="f", labelCol=LABEL, numTrees=1, bootstrap=False,
+                               maxDepth=DEEP, featureSubsetStrategy="all", seed=SEED)
+    model = rf.fit(_one_feature(train, "Year"))
+    m = collect_metrics(model.transform(_one_feature(test, "Year")))
+    out = artifact_dir(spark, "json_meta_roundtrip")
+    save_metadata(metadata_frame(spark, "group_mean_tree", m), out)
+    meta = load_metadata(spark, out)
+    return meta.select("model_name", F.round("metrics.RMSE", 6).alias("RMSE"),
+                       F.round("metrics.R2", 10).alias("R2"), F.round("metrics.MAE", 6).alias("MAE"))
+
+
 @register("linear_two_feature", with_listings("""
 WITH s AS (SELECT var_samp(Year) AS v1, var_samp(kmDriven) AS v2, covar_samp(Year, kmDriven) AS c12,
   covar_samp(Year, AskPrice) AS c1y, covar_samp(kmDriven, AskPrice) AS c2y,

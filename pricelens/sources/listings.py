@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import CLEAN_SCHEMA, ID, RAW_COLUMNS, RAW_SCHEMA
+from ..schema import CLEAN_SCHEMA, ID, RAW_COLUMNS
 from ..session import sf_path, spread
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -78,15 +78,15 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, with_id: bool = True) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a raw listing CSV with a header, every column as text.
 
-    An explicit schema replaces type inference: no extra pass over the file,
-    and no column silently turns into a date or boolean that the feature
-    step would then ignore.
+    Columns are matched by their header names, so files with or without
+    optional columns (``Age``, ``listing_id``) read the same way.  No type
+    inference: no extra pass over the data, and no column silently turning
+    into a date or boolean that the feature step would then ignore.
     """
-    schema = RAW_SCHEMA if with_id else RAW_SCHEMA[1:]
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -274,3 +274,19 @@ def q_score_from_saved(spark, sf_dir):
     art = load_artifacts(spark, out)
     scored, _ = score_requests(requests(spark, sf_dir), art)
     return scored
+
+
+@register("score_stream")
+def q_score_stream(spark, sf_dir):
+    """Requests written as files, scored by the streaming job (available-now trigger)."""
+    import uuid
+
+    from ..streaming.score_stream import REQUEST_FILE_SCHEMA, score_stream
+    base = artifact_dir(spark, f"score_stream/{uuid.uuid4().hex}")
+    train_job(clean(spark, sf_dir), f"{base}/model", "narrow", tune=False, save_clean=False)
+    req = requests(spark, sf_dir)
+    req.select(*[F.col(f.name).cast("string") if f.name in req.columns else F.lit(None).cast("string").alias(f.name)
+                 for f in REQUEST_FILE_SCHEMA.fields]).write.mode("overwrite").parquet(f"{base}/requests")
+    for h in score_stream(spark, f"{base}/model", f"{base}/requests", f"{base}/out", checkpoint_dir=f"{base}/ckpt"):
+        h.awaitTermination()
+    return spark.read.parquet(f"{base}/out/scored")

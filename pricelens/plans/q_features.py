@@ -10,13 +10,13 @@ from ..operators.features import (FEATURES, SCALED, feature_pipeline, profile_co
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID
-from .common import clean
+from .common import clean, materialized
 
 CATS, NUMS = profile_columns("narrow")
 
 
 def _fitted(spark, sf_dir):
-    train, test = split(clean(spark, sf_dir))
+    train, test = split(materialized(spark, sf_dir, [ID, *CATS, *NUMS, "AskPrice"]))
     model = feature_pipeline(CATS, NUMS).fit(train)
     return train, test, model
 

@@ -29,7 +29,10 @@ from ..sources.artifacts import artifact_dir, load_artifacts
 from .q_serve import requests
 from ..plans.score import predict, score_requests
 from ..plans.train import train as train_job
-from .common import clean
+from .common import clean, materialized
+
+YEAR_COLS = [ID, "Year", "kmDriven", LABEL]
+NARROW_COLS = [ID, *profile_columns("narrow")[0], *profile_columns("narrow")[1], LABEL]
 
 # Depth that gives each of up to 2**10 distinct values of one feature its own leaf.
 DEEP = 10
@@ -58,7 +61,7 @@ def flagship_scores(spark, sf_dir, family: str = "Linear Regression"):
     split, and price every clean listing (prediction and market-adjusted)."""
     # The clean table feeds four passes (index, scale, fit, score): write it
     # once to the checkpoint folder instead of re-running scan and joins.
-    df = cut_lineage(clean(spark, sf_dir))
+    df = materialized(spark, sf_dir, NARROW_COLS)
     prep = prepare(df, "narrow")
     est = {"Linear Regression": LinearRegression, "Random Forest": RandomForestRegressor,
            "Gradient Boosting": GBTRegressor}[family](featuresCol=SCALED, labelCol=LABEL)
@@ -89,7 +92,7 @@ SELECT 'group_mean_tree' AS model,
 FROM scored"""))
 def q_regression_metrics(spark, sf_dir):
     """RMSE, MSE, MAE, R² in one pass, for a one-tree per-Year model on the test split."""
-    train, test = split(clean(spark, sf_dir))
+    train, test = split(materialized(spark, sf_dir, YEAR_COLS))
     rf = RandomForestRegressor(featuresCol="f", labelCol=LABEL, numTrees=1, bootstrap=False,
                                maxDepth=DEEP, featureSubsetStrategy="all", seed=SEED)
     model = rf.fit(_one_feature(train, "Year"))
@@ -110,7 +113,7 @@ def q_json_meta_roundtrip(spark, sf_dir):
     """Run metadata (model name, metrics struct, creation time) written as JSON and read back."""
     from ..operators.metrics import collect_metrics
     from ..sources.artifacts import load_metadata, metadata_frame, save_metadata
-    train, test = split(clean(spark, sf_dir))
+    train, test = split(materialized(spark, sf_dir, YEAR_COLS))
     rf = RandomForestRegressor(featuresCol="f", labelCol=LABEL, numTrees=1, bootstrap=False,
                                maxDepth=DEEP, featureSubsetStrategy="all", seed=SEED)
     model = rf.fit(_one_feature(train, "Year"))
@@ -132,7 +135,7 @@ coef AS (SELECT 'Year' AS term, b1 AS value FROM b UNION ALL SELECT 'kmDriven',
 SELECT term, """ + _mantissa_sql("value") + " FROM coef"))
 def q_linear_two_feature(spark, sf_dir):
     """Least squares of price on Year and kmDriven (normal equations) on the training split."""
-    train, _ = split(clean(spark, sf_dir))
+    train, _ = split(materialized(spark, sf_dir, YEAR_COLS))
     asm = VectorAssembler(inputCols=["Year", "kmDriven"], outputCol="f")
     lr = LinearRegression(featuresCol="f", labelCol=LABEL, regParam=0.0, solver="normal")
     m = lr.fit(asm.transform(train))
@@ -144,7 +147,7 @@ def q_linear_two_feature(spark, sf_dir):
 
 
 def _group_mean_model(spark, sf_dir, family):
-    train, test = split(clean(spark, sf_dir))
+    train, test = split(materialized(spark, sf_dir, YEAR_COLS))
     if family == "rf":
         est = RandomForestRegressor(featuresCol="f", labelCol=LABEL, numTrees=1, bootstrap=False,
                                     maxDepth=DEEP, featureSubsetStrategy="all", seed=SEED)
@@ -181,7 +184,7 @@ per_fold AS (SELECT v.fold, sqrt(avg((v.AskPrice - m.prediction)^2)) AS rmse
 SELECT 'maxDepth=10' AS params, round(avg(rmse), 6) AS avg_rmse FROM per_fold"""))
 def q_cv_group_mean(spark, sf_dir):
     """3-fold CV (folds from the row hash) of the per-Year tree: mean validation RMSE."""
-    train, _ = split(clean(spark, sf_dir))
+    train, _ = split(materialized(spark, sf_dir, YEAR_COLS))
     t = _one_feature(with_fold(train, 3), "Year")
     tuned = cross_validate("Random Forest", t, None, grid={"maxDepth": [DEEP]}, folds=3, features_col="f",
                            parallelism=1, numTrees=1, bootstrap=False, featureSubsetStrategy="all")
@@ -191,9 +194,9 @@ def q_cv_group_mean(spark, sf_dir):
 # --- full families (rows-only) ----------------------------------------------
 
 def _prepared(spark, sf_dir, folds: int | None = None):
-    prep = prepare(clean(spark, sf_dir), "narrow")
+    prep = prepare(materialized(spark, sf_dir, NARROW_COLS), "narrow")
     train = with_fold(prep.train, folds) if folds else prep.train
-    return prep, cut_lineage(train), cut_lineage(prep.test)
+    return prep, train, prep.test
 
 
 @register("model_comparison")

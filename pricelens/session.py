@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,13 +69,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
-    A lost executor then re-reads the checkpoint instead of re-running the
-    scan, joins and feature transforms that produced ``df``.
+    One pass computes and writes the rows (``Dataset.checkpoint`` would run
+    the plan twice unless it were cached first); the re-read table has no
+    lineage, so a lost executor re-reads files instead of re-running scans,
+    joins and transforms, and later reads prune columns like any parquet scan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ..operators.profile import (binned_2d, box_stats, category_counts, describe
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID, LABEL, PROFILE_CATEGORIES, TOP_K_CATEGORIES
-from .common import clean
+from .common import clean, materialized
 
 NUMERIC = ["Year", "Age", "kmDriven", "AskPrice"]
 
@@ -61,8 +61,12 @@ SELECT a.bin, round(k2.lo + a.bin * ((k2.hi - k2.lo) / k2.k), 4) AS lo,
  round(k2.lo + (a.bin + 1) * ((k2.hi - k2.lo) / k2.k), 4) AS hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM allb a CROSS JOIN k2 LEFT JOIN counts c ON c.bin = a.bin"""))
 def q_price_histogram(spark, sf_dir):
-    """Price histogram with automatic equal-width bins (narrower of Sturges and Freedman–Diaconis)."""
-    h = histogram(clean(spark, sf_dir), LABEL)
+    """Price histogram with automatic equal-width bins (narrower of Sturges and Freedman–Diaconis).
+
+    Two passes (statistics, then bins) over the pruned price column, written
+    once to the checkpoint folder.
+    """
+    h = histogram(materialized(spark, sf_dir, [LABEL]), LABEL)
     return h.select("bin", _r("lo").alias("lo"), _r("hi").alias("hi"), "n")
 
 
@@ -77,7 +81,7 @@ SELECT g.j, round(p.lo + g.j * p.step, 4) AS x,
 FROM g CROSS JOIN p CROSS JOIN vc GROUP BY g.j, p.lo, p.step, p.n, p.h"""))
 def q_price_kde(spark, sf_dir):
     """Gaussian density of the price on 200 points, Scott bandwidth (density × 10⁶)."""
-    d = kde(clean(spark, sf_dir), LABEL)
+    d = kde(materialized(spark, sf_dir, [LABEL]), LABEL)
     return d.select("j", _r("x").alias("x"), _r(F.col("density") * 1e6, 6).alias("density_e6"))
 
 
@@ -101,7 +105,7 @@ def _box_out(b, keys=()):
 @register("price_box", with_listings("WITH " + _BOX_SQL.format(key="", src="clean", group="", fkey="", on="true")))
 def q_price_box(spark, sf_dir):
     """Price quartiles, whiskers at 1.5·IQR and outlier count."""
-    return _box_out(box_stats(clean(spark, sf_dir), LABEL))
+    return _box_out(box_stats(materialized(spark, sf_dir, [LABEL]), LABEL))
 
 
 _TOP_BRANDS_SQL = f"""
@@ -113,7 +117,7 @@ kept AS (SELECT * FROM clean WHERE Brand IN (SELECT Brand FROM top))"""
     key="Brand,", src="kept", group="GROUP BY Brand", fkey="f.Brand,", on="s.Brand = f.Brand")))
 def q_price_box_by_brand(spark, sf_dir):
     """Box statistics of the price for each of the ten most frequent brands."""
-    kept = keep_top_categories(clean(spark, sf_dir), "Brand")
+    kept = keep_top_categories(materialized(spark, sf_dir, ["Brand", LABEL]), "Brand")
     return _box_out(box_stats(kept, LABEL, by="Brand", bounded_groups=True), ["Brand"])
 
 
@@ -124,7 +128,7 @@ WITH {_auto_k_sql('AskPrice')}
 SELECT Year, {_bin_sql('AskPrice', 'k2')} AS y_bin, CAST(count(*) AS BIGINT) AS n FROM clean, k2 GROUP BY 1, 2"""))
 def q_price_by_year(spark, sf_dir):
     """Price-vs-Year scatter as counts per (Year, price bin)."""
-    return binned_2d(clean(spark, sf_dir), "Year", LABEL, discrete_x=True)
+    return binned_2d(materialized(spark, sf_dir, ["Year", LABEL]), "Year", LABEL, discrete_x=True)
 
 
 @register("price_by_km", with_listings(f"""
@@ -133,7 +137,7 @@ SELECT {_bin_sql('kmDriven', 'kx')} AS x_bin, {_bin_sql('AskPrice', 'k2')} AS y_
 FROM clean, k2, kx GROUP BY 1, 2"""))
 def q_price_by_km(spark, sf_dir):
     """Price-vs-km scatter as counts per (km bin, price bin)."""
-    return binned_2d(clean(spark, sf_dir), "kmDriven", LABEL)
+    return binned_2d(materialized(spark, sf_dir, ["kmDriven", LABEL]), "kmDriven", LABEL)
 
 
 @register("price_relations", with_listings("""
@@ -183,4 +187,4 @@ def q_top10_categories(spark, sf_dir):
     "WITH " + _TOP_BRANDS_SQL + "\nSELECT listing_id, Brand, AskPrice FROM kept"))
 def q_top10_filter(spark, sf_dir):
     """Listings whose brand is among the ten most frequent (broadcast left-semi join)."""
-    return keep_top_categories(clean(spark, sf_dir), "Brand").select(ID, "Brand", LABEL)
+    return keep_top_categories(materialized(spark, sf_dir, [ID, "Brand", LABEL]), "Brand")

@@ -159,6 +159,25 @@ def top_categories(df: DataFrame, column: str, k: int = TOP_K_CATEGORIES) -> Dat
               .orderBy(F.desc("n"), F.asc(column)).limit(k))
 
 
+def top_categories_per_column(df: DataFrame, columns=PROFILE_CATEGORIES, k: int = TOP_K_CATEGORIES,
+                              buckets: int = 64) -> DataFrame:
+    """``(column_name, value, n, rank)``: the k most frequent values of each column.
+
+    One value-count aggregation, then an exact two-level top-k: first the k
+    best of each (column, hash bucket of the value), then the k best of the
+    at most ``k × buckets`` survivors per column.  No task ever ranks a whole
+    column vocabulary, and the counts are computed once for all columns.
+    """
+    from pyspark.sql import Window
+    counts = category_counts(df, columns)
+    order = [F.desc("n"), F.asc("value")]
+    bucket = F.pmod(F.xxhash64("value"), F.lit(buckets))
+    w1 = Window.partitionBy("column_name", bucket).orderBy(*order)
+    pre = counts.withColumn("r1", F.row_number().over(w1)).filter(F.col("r1") <= k).drop("r1")
+    w2 = Window.partitionBy("column_name").orderBy(*order)
+    return pre.withColumn("rank", F.row_number().over(w2).cast("int")).filter(F.col("rank") <= k)
+
+
 def keep_top_categories(df: DataFrame, column: str, k: int = TOP_K_CATEGORIES) -> DataFrame:
     """Rows whose ``column`` is among its k most frequent values.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.profile import (binned_2d, box_stats, category_counts, describe_numeric, histogram, kde,
-                                 keep_top_categories, numeric_relation)
+                                 keep_top_categories, numeric_relation, top_categories_per_column)
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID, LABEL, PROFILE_CATEGORIES, TOP_K_CATEGORIES
@@ -172,15 +172,8 @@ SELECT column_name, value, CAST(n AS BIGINT) AS n, CAST(rnk AS INTEGER) AS rank
  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS rnk FROM ({_CAT_SQL}) c) r
 WHERE rnk <= {TOP_K_CATEGORIES}"""))
 def q_top10_categories(spark, sf_dir):
-    """The ten most frequent values of each profiled column (ties by value).
-
-    The window runs over the value-count table (one row per distinct value),
-    never over the listing rows.
-    """
-    counts = category_counts(clean(spark, sf_dir), PROFILE_CATEGORIES)
-    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
-    return (counts.withColumn("rank", F.row_number().over(w).cast("int"))
-                  .filter(F.col("rank") <= TOP_K_CATEGORIES))
+    """The ten most frequent values of each profiled column (ties by value)."""
+    return top_categories_per_column(clean(spark, sf_dir), PROFILE_CATEGORIES, TOP_K_CATEGORIES)
 
 
 @register("top10_filter", with_listings(

@@ -1,11 +1,12 @@
 """Data profile: the numbers behind each summary chart, computed on executors.
 
 Every statistic is an aggregation with map-side partial aggregation; the
-driver only ever sees one small statistics row (min, max, quartiles…) that
-parameterises a second pass.  Exact quartiles use ``percentile``, whose
-state per group is a value→count map (bounded by the number of distinct
-values, not by the rows); ``exact=False`` switches to ``percentile_approx``
-for continuous columns with unbounded distinct values.
+driver only ever sees small statistics rows (min, max, quartiles…) that
+parameterise a later pass.  Exact quartiles come from
+``operators.quantiles.exact_quantiles``: a one-pass ``percentile`` when an
+approximate distinct count proves its per-task value map small, otherwise a
+range-partitioned rank search in which no task holds a whole group.
+``exact=False`` switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -16,36 +17,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import LABEL, PROFILE_CATEGORIES, TOP_K_CATEGORIES
+from .quantiles import exact_quantiles, quantile_row
 
 GRID_POINTS = 200
 
 
-def _quantiles(c: str, probs, exact: bool = True) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    return F.percentile(c, arr) if exact else F.percentile_approx(c, arr, 100000)
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def _approx_quantiles(c: str, probs) -> Column:
+    return F.percentile_approx(c, F.array(*[F.lit(float(p)) for p in probs]), 100000)
 
 
 def describe_numeric(df: DataFrame, columns, exact: bool = True) -> DataFrame:
     """count, mean, std, min, 25/50/75 %, max of each column, as one row per column.
 
-    One aggregation pass computes every statistic of every column.
+    One aggregation pass computes the moments, extremes and distinct-count
+    sketches of every column; the quartiles of all columns come from one
+    quantile computation over the stacked ``(column_name, value)`` table.
     """
     aggs = []
     for i, c in enumerate(columns):
         aggs += [F.count(c).cast("bigint").alias(f"n{i}"), F.avg(c).alias(f"m{i}"),
                  F.stddev_samp(c).alias(f"s{i}"), F.min(c).cast("double").alias(f"lo{i}"),
-                 _quantiles(c, [0.25, 0.5, 0.75], exact).alias(f"q{i}"), F.max(c).cast("double").alias(f"hi{i}")]
+                 F.max(c).cast("double").alias(f"hi{i}")]
+        if exact:
+            aggs.append(F.approx_count_distinct(c).alias(f"d{i}"))
+        else:
+            aggs.append(_approx_quantiles(c, QUARTILES).alias(f"q{i}"))
     wide = df.agg(*aggs)
-    rows = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}" for i, c in enumerate(columns))
-    return wide.select(F.expr(
-        f"stack({len(columns)}, {rows}) AS (column_name, count, mean, std, min, p25, p50, p75, max)"))
+    if not exact:
+        rows = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}"
+                         for i, c in enumerate(columns))
+        return wide.select(F.expr(
+            f"stack({len(columns)}, {rows}) AS (column_name, count, mean, std, min, p25, p50, p75, max)"))
+    w = wide.first()
+    stats = df.sparkSession.createDataFrame(
+        [(c, w[f"n{i}"], w[f"m{i}"], w[f"s{i}"], w[f"lo{i}"], w[f"hi{i}"]) for i, c in enumerate(columns)],
+        "column_name string, count bigint, mean double, std double, min double, max double")
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
+    long = df.select(F.expr(f"stack({len(columns)}, {stack}) AS (column_name, v)"))
+    hint = max((w[f"d{i}"] or 0) for i in range(len(columns)))
+    q = quantile_row(exact_quantiles(long, "v", QUARTILES, by=["column_name"], distinct_hint=hint),
+                     QUARTILES, ["column_name"])
+    return stats.join(q, "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
+        F.col("q2").alias("p75"), "max")
 
 
 def distribution_stats(df: DataFrame, c: str, exact: bool = True) -> dict:
-    """n, min, max, stddev and quartiles of one column (one small row to the driver)."""
+    """n, min, max, stddev and quartiles of one column (small rows to the driver)."""
+    extra = [F.approx_count_distinct(c).alias("d")] if exact else [_approx_quantiles(c, QUARTILES).alias("q")]
     r = df.agg(F.count(c).alias("n"), F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
-               F.stddev_samp(c).alias("std"), _quantiles(c, [0.25, 0.5, 0.75], exact).alias("q")).first()
-    q = r["q"] or [None, None, None]
+               F.stddev_samp(c).alias("std"), *extra).first()
+    if not r["n"]:
+        q = [None, None, None]
+    elif exact:
+        got = {row["p"]: row["value"] for row in exact_quantiles(df, c, QUARTILES, distinct_hint=r["d"]).collect()}
+        q = [got[p] for p in QUARTILES]
+    else:
+        q = r["q"]
     return dict(n=r["n"], lo=r["lo"], hi=r["hi"], std=r["std"], q1=q[0], q2=q[1], q3=q[2])
 
 
@@ -129,9 +160,12 @@ def box_stats(df: DataFrame, c: str = LABEL, by: str | None = None, exact: bool
             F.min(F.when(inside, F.col(c))).cast("double").alias("whisker_low"),
             F.max(F.when(inside, F.col(c))).cast("double").alias("whisker_high"),
             F.count_if(~inside).cast("bigint").alias("n_outliers"))
-    q = df.filter(F.col(c).isNotNull()).groupBy(by).agg(
-        _quantiles(c, [0.25, 0.5, 0.75], exact).alias("q"), F.count(F.lit(1)).cast("bigint").alias("n"))
-    q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "n")
+    if exact:
+        q = quantile_row(exact_quantiles(df, c, QUARTILES, by=[by]), QUARTILES, [by])
+        q = q.select(by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    else:
+        q = df.filter(F.col(c).isNotNull()).groupBy(by).agg(_approx_quantiles(c, QUARTILES).alias("q"))
+        q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     fences = q.select(by, (F.col("q1") - 1.5 * F.col("iqr")).alias("f_lo"),
                       (F.col("q3") + 1.5 * F.col("iqr")).alias("f_hi"))
@@ -139,6 +173,7 @@ def box_stats(df: DataFrame, c: str = LABEL, by: str | None = None, exact: bool
         F.broadcast(fences) if bounded_groups else fences, by)
     inside = F.col("v").between(F.col("f_lo"), F.col("f_hi"))
     w = joined.groupBy(by).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
         F.min(F.when(inside, F.col("v"))).cast("double").alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).cast("double").alias("whisker_high"),
         F.count_if(~inside).cast("bigint").alias("n_outliers"))

@@ -32,7 +32,7 @@ _DESCRIBE_SQL = " UNION ALL ".join(
 @register("describe_numeric", with_listings(_DESCRIBE_SQL))
 def q_describe_numeric(spark, sf_dir):
     """count, mean, std, min, quartiles, max of every numeric column (one pass)."""
-    d = describe_numeric(clean(spark, sf_dir), NUMERIC)
+    d = describe_numeric(materialized(spark, sf_dir, NUMERIC), NUMERIC)
     return d.select("column_name", "count", _r("mean").alias("mean"), _r("std").alias("std"), "min",
                     _r("p25").alias("p25"), _r("p50").alias("p50"), _r("p75").alias("p75"), "max")
 

@@ -89,3 +89,18 @@ def test_split_is_disjoint_and_complete(spark):
     tr, te = split(df)
     assert tr.count() + te.count() == df.count()
     assert tr.select("listing_id").intersect(te.select("listing_id")).count() == 0
+
+
+def test_wide_profile_matches_the_original_feature_layout(spark):
+    """Every text column one-hot (unknown slot dropped) + Year, Age, kmDriven."""
+    from pricelens.operators.features import feature_names
+    from pricelens.schema import WIDE_CATEGORICALS
+    df = clean(spark, SF_SMALL)
+    prep = prepare(df, "wide")
+    tr, _ = split(df)
+    labels = sum(tr.select(c).distinct().count() for c in WIDE_CATEGORICALS)
+    names = feature_names(prep.pipeline_model.transform(df.limit(0)), "features")
+    assert len(names) == labels + 3
+    assert names[-3:] == ["Year", "Age", "kmDriven"]
+    row = prep.train.select("scaled_features").first()[0]
+    assert row.size == labels + 3

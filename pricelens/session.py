@@ -89,10 +89,12 @@ def spread(df: DataFrame) -> DataFrame:
     untouched; only a small file with a few row groups (which parquet cannot
     split further) is spread so every core gets a share of the row work.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without an RDD view (e.g. Spark Connect)
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def sf_path(sf_dir: str, table: str) -> str:

@@ -143,7 +143,7 @@ class Tuned:
 
 def cross_validate(name: str, train: DataFrame, test: DataFrame | None = None, grid: dict | None = None,
                    folds: int = CV_FOLDS, features_col: str = SCALED, label: str = LABEL,
-                   parallelism: int = 4, **params) -> Tuned:
+                   parallelism: int = 8, **params) -> Tuned:
     """K-fold CV over a family's grid, RMSE, folds from the ``fold`` column if present.
 
     The grid points are fitted ``parallelism`` at a time; the best point is

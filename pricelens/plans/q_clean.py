@@ -142,6 +142,12 @@ def q_preview_head(spark, sf_dir):
     return clean(spark, sf_dir).orderBy(ID).limit(10)
 
 
+@register("raw_preview_head", with_listings("SELECT * FROM listings ORDER BY listing_id LIMIT 10", clean=False))
+def q_raw_preview_head(spark, sf_dir):
+    """First ten raw rows in id order, every column text."""
+    return raw_listings(spark, sf_dir).orderBy(ID).limit(10)
+
+
 @register("dataset_shape", with_listings(
     "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(12 AS INTEGER) AS n_columns FROM clean"))
 def q_dataset_shape(spark, sf_dir):

@@ -86,11 +86,13 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     inference: no extra pass over the data, and no column silently turning
     into a date or boolean that the feature step would then ignore.
     """
+    require_path(spark, path)
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a clean listing CSV written by ``write_clean``."""
+    require_path(spark, path)
     return spark.read.schema(CLEAN_SCHEMA).option("header", True).csv(path)
 
 
@@ -105,3 +107,12 @@ def write_clean(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def raw_columns_present(df: DataFrame) -> list[str]:
     return [c for c in RAW_COLUMNS if c in df.columns]
+
+
+def require_path(spark: SparkSession, path: str) -> None:
+    """Fail early, with the path in the message, when an input is missing."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        raise FileNotFoundError(f"data file not found at {path}")

@@ -104,3 +104,18 @@ def test_wide_profile_matches_the_original_feature_layout(spark):
     assert names[-3:] == ["Year", "Age", "kmDriven"]
     row = prep.train.select("scaled_features").first()[0]
     assert row.size == labels + 3
+
+
+def test_missing_input_file_is_reported(spark):
+    from pricelens.sources.listings import read_raw_csv
+    with pytest.raises(FileNotFoundError, match="not found"):
+        read_raw_csv(spark, "/nonexistent/listings.csv")
+
+
+def test_train_then_score(spark):
+    from pricelens.plans.train import train_then_score
+    out = os.path.join(ensure_checkpoint_dir(spark), "test-artifacts", uuid.uuid4().hex)
+    res, scored, bad = train_then_score(clean(spark, SF_SMALL), requests(spark, SF_SMALL), out,
+                                        families=["Linear Regression"], tune=False, save_clean=False)
+    assert res.best_name == "Linear Regression"
+    assert scored.count() + bad.count() == requests(spark, SF_SMALL).count()

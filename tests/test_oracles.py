@@ -38,7 +38,7 @@ def _rows(pdf):
 
 @pytest.mark.parametrize("name", sorted(oracles()))
 def test_query_matches_oracle(spark, duck, name):
-    if name == "preview_head" and SF == SF_SMALL:
+    if name in ("preview_head", "raw_preview_head") and SF == SF_SMALL:
         pytest.skip("listing_id is not unique at sf0.001, so the first ten rows are not unique")
     sp = queries()[name](spark, SF).toPandas()
     dk = duck_on(duck, SF).execute(oracles()[name]).fetchdf()

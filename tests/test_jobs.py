@@ -119,3 +119,11 @@ def test_train_then_score(spark):
                                         families=["Linear Regression"], tune=False, save_clean=False)
     assert res.best_name == "Linear Regression"
     assert scored.count() + bad.count() == requests(spark, SF_SMALL).count()
+
+
+def test_selection_on_a_validation_slice(spark):
+    prep = prepare(clean(spark, SF_SMALL), "narrow")
+    comp = compare_models(prep.train, prep.test, ["Linear Regression", "Gradient Boosting"], select_on="validation")
+    rows = {r.model: r for r in comp.metrics.collect()}
+    assert all(r.val_rmse is not None and r.val_rmse > 0 for r in rows.values())
+    assert comp.best_name == min(rows.values(), key=lambda r: (r.val_rmse, r.model_order)).model

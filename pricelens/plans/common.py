@@ -3,16 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.columns import split_key
 from ..operators.clean import clean_listings
 from ..session import cut_lineage
 from ..sources.listings import raw_listings
 
-# Scale of the rounding applied to floating results, on both sides.
-ROUND = 6
-
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_listings(raw_listings(spark, sf_dir))
@@ -27,16 +22,3 @@ def materialized(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
     """
     df = clean(spark, sf_dir)
     return cut_lineage(df.select(*cols) if cols else df)
-
-
-def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(spark, sf_dir).withColumn("split_key", split_key())
-
-
-def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    k = keyed(spark, sf_dir)
-    return k.filter(F.col("split_key") % 10 < 8), k.filter(F.col("split_key") % 10 >= 8)
-
-
-def rnd(c, scale: int = ROUND):
-    return F.round(F.col(c) if isinstance(c, str) else c, scale)

@@ -17,19 +17,17 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from ..operators.features import SCALED, feature_names, feature_pipeline, prepare, profile_columns, split, with_fold
+from ..operators.features import SCALED, feature_names, prepare, profile_columns, split, with_fold
 from ..operators.metrics import regression_metrics
 from ..operators.models import best_model_row, compare_models, cross_validate, feature_importance, tuned_or_base
-from ..operators.serve import conform, serve_defaults, split_valid
 from ..oracles import with_listings
 from ..registry import register
-from ..schema import ID, LABEL, MARKET_FACTOR, PARAM_GRIDS, SEED
-from ..session import cut_lineage
+from ..schema import ID, LABEL, MARKET_FACTOR, SEED
 from ..sources.artifacts import artifact_dir, load_artifacts
-from .q_serve import requests
-from ..plans.score import predict, score_requests
-from ..plans.train import train as train_job
 from .common import clean, materialized
+from .q_serve import requests
+from .score import predict, score_requests
+from .train import train as train_job
 
 YEAR_COLS = [ID, "Year", "kmDriven", LABEL]
 NARROW_COLS = [ID, *profile_columns("narrow")[0], *profile_columns("narrow")[1], LABEL]

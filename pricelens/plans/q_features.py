@@ -120,3 +120,24 @@ def q_scaled_long(spark, sf_dir):
     _, test, model = _fitted(spark, sf_dir)
     out = vector_long(model.transform(test), SCALED)
     return out.select(ID, "idx", F.round("value", 6).alias("value"))
+
+
+_WIDE_CATS, _WIDE_NUMS = profile_columns("wide")
+_WIDE_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS slots FROM train" for c in _WIDE_CATS)
+
+
+@register("wide_feature_layout", with_listings(f"""
+WITH per AS ({_WIDE_SQL})
+SELECT column_name, slots FROM per
+UNION ALL SELECT 'total', CAST(sum(slots) + {len(_WIDE_NUMS)} AS BIGINT) FROM per"""))
+def q_wide_feature_layout(spark, sf_dir):
+    """Vector layout of the wide profile (every text column one-hot, then Year, Age, kmDriven):
+    slots per column = labels seen in training (the unknown slot is the one dropped)."""
+    from ..operators.features import feature_names, index_labels
+    train, _ = split(materialized(spark, sf_dir, [ID, *_WIDE_CATS, *_WIDE_NUMS, "AskPrice"]))
+    model = feature_pipeline(_WIDE_CATS, _WIDE_NUMS).fit(train)
+    labels = index_labels(model)
+    width = len(feature_names(model.transform(train.limit(0)), FEATURES))
+    rows = [(c, len(labels[c])) for c in _WIDE_CATS] + [("total", width)]
+    return spark.createDataFrame(rows, "column_name string, slots bigint")

@@ -127,3 +127,20 @@ def test_selection_on_a_validation_slice(spark):
     rows = {r.model: r for r in comp.metrics.collect()}
     assert all(r.val_rmse is not None and r.val_rmse > 0 for r in rows.values())
     assert comp.best_name == min(rows.values(), key=lambda r: (r.val_rmse, r.model_order)).model
+
+
+def test_streaming_scorer_matches_batch_scoring(spark, trained):
+    """Requests dropped as files are scored by the stream exactly like the batch job."""
+    from pricelens.streaming.score_stream import REQUEST_FILE_SCHEMA, score_stream
+    _, out = trained
+    base = os.path.join(ensure_checkpoint_dir(spark), "test-stream", uuid.uuid4().hex)
+    req = requests(spark, SF_SMALL)
+    req.select(*[F.col(f.name).cast("string") if f.name in req.columns else F.lit(None).cast("string").alias(f.name)
+                 for f in REQUEST_FILE_SCHEMA.fields]).write.parquet(f"{base}/requests")
+    for h in score_stream(spark, out, f"{base}/requests", f"{base}/out", checkpoint_dir=f"{base}/ckpt"):
+        h.awaitTermination()
+    streamed = spark.read.parquet(f"{base}/out/scored")
+    batch, _ = score_requests(req, load_artifacts(spark, out))
+    key = ["listing_id", "prediction"]
+    assert sorted(streamed.select(*key).collect()) == sorted(batch.select(*key).collect())
+    assert spark.read.parquet(f"{base}/out/quarantine").count() + streamed.count() == req.count()

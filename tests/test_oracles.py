@@ -12,6 +12,7 @@ from pricelens.registry import oracles, queries
 from .conftest import SF_SMALL, duck_on
 
 SF = os.environ.get("PRICELENS_ORACLE_SF", SF_SMALL)
+_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -40,8 +41,13 @@ def _rows(pdf):
 def test_query_matches_oracle(spark, duck, name):
     if name in ("preview_head", "raw_preview_head") and SF == SF_SMALL:
         pytest.skip("listing_id is not unique at sf0.001, so the first ten rows are not unique")
-    sp = queries()[name](spark, SF).toPandas()
-    dk = duck_on(duck, SF).execute(oracles()[name]).fetchdf()
+    df = queries()[name](spark, SF)
+    con = duck_on(duck, SF)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracles()[name]}").fetchall()}
+    assert spark_types == duck_types
+    sp = df.toPandas()
+    dk = con.execute(oracles()[name]).fetchdf()
     c1, r1 = _rows(sp)
     c2, r2 = _rows(dk)
     assert c1 == c2

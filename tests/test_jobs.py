@@ -144,3 +144,19 @@ def test_streaming_scorer_matches_batch_scoring(spark, trained):
     key = ["listing_id", "prediction"]
     assert sorted(streamed.select(*key).collect()) == sorted(batch.select(*key).collect())
     assert spark.read.parquet(f"{base}/out/quarantine").count() + streamed.count() == req.count()
+
+
+def test_profile_builds_every_summary(spark):
+    from pricelens.operators.profile import profile
+    from pricelens.plans.common import materialized
+    df = materialized(spark, SF_SMALL)
+    out = profile(df)
+    n = df.count()
+    assert out["shape"].first().n_rows == n
+    assert out["histogram"].agg(F.sum("n")).first()[0] == n
+    assert out["kde"].count() == 200
+    assert out["price_by_year"].agg(F.sum("n")).first()[0] == n
+    for c in ["Brand", "FuelType", "Transmission", "Owner"]:
+        box = out[f"box_by_{c}"].collect()
+        assert 0 < len(box) <= 10
+        assert all(r.whisker_low <= r.median <= r.whisker_high for r in box)

@@ -109,6 +109,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def release(df: DataFrame) -> bool:
+    """Delete the checkpoint table behind a ``cut_lineage`` result.
+
+    Only folders under ``<checkpoint dir>/tables/`` are ever deleted; any
+    other DataFrame is left alone.  Call it once nothing reads ``df`` any more.
+    """
+    spark = df.sparkSession
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables")
+    files = df.inputFiles()
+    if not files:
+        return False
+    jvm = spark.sparkContext._jvm
+    table = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    fs = table.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root_q = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(root)).toString().rstrip("/") + "/"
+    table_q = fs.makeQualified(table).toString()
+    if not table_q.startswith(root_q):
+        return False
+    return bool(fs.delete(table, True))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer partitions than the cluster has cores.
 

@@ -160,3 +160,13 @@ def test_profile_builds_every_summary(spark):
         box = out[f"box_by_{c}"].collect()
         assert 0 < len(box) <= 10
         assert all(r.whisker_low <= r.median <= r.whisker_high for r in box)
+
+
+def test_release_deletes_only_checkpoint_tables(spark):
+    from pricelens.session import cut_lineage, release
+    t = cut_lineage(spark.range(10))
+    files = t.inputFiles()
+    assert release(t)
+    assert not release(spark.read.parquet(f"{SF_SMALL}/region.parquet"))
+    import os as _os
+    assert not any(_os.path.exists(f.replace("file:", "")) for f in files)

@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelens.session import release
+
 from .common import pick, row_slices, written
 
 #: Shingles fall into this many buckets, whose counts over all documents give the order of rarity.
@@ -73,19 +75,19 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def _scan(batches, size: int):
-    """(doc_id column, shingle sets) of each slice of rows."""
+    """(doc_id column, key column, shingle sets) of each slice of rows (doc_id, key, text)."""
     shingles = Shingles(size)
     for b in row_slices(batches):
-        yield b.column(0), [shingles(t) for t in b.column(1).to_pylist()]
+        yield b.column(0), b.column(1), [shingles(t) for t in b.column(2).to_pylist()]
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """Per row: doc_id, n, class; and per task and bucket the number of shingles, as rows of bucket and n."""
-    arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("bucket", pa.int32())])
+    """Per row: doc_id, key, n, class; and per task and bucket the number of shingles, as rows of bucket and n."""
+    arrow = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("bucket", pa.int32())])
 
     def run(batches):
         counts, seen = np.zeros(BUCKETS, dtype=np.int64), set()
-        for ids, sets in _scan(batches, size):
+        for ids, keys, sets in _scan(batches, size):
             classes = [class_of(s) if len(s) else None for s in sets]
             new = []
             for c, s in zip(classes, sets):
@@ -96,12 +98,12 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
                 seen.clear()
             if new:
                 counts += np.bincount((np.concatenate(new) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-            yield pa.RecordBatch.from_pydict({"doc_id": ids, "n": [len(s) for s in sets], "class": classes, "bucket": [None] * len(sets)}, schema=arrow)
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "key": keys, "n": [len(s) for s in sets], "class": classes, "bucket": [None] * len(sets)}, schema=arrow)
         used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(len(used), pa.int64()), "n": counts[used], "class": pa.nulls(len(used), pa.int64()),
-                                          "bucket": used.astype(np.int32)}, schema=arrow)
+        none = pa.nulls(len(used), pa.int64())
+        yield pa.RecordBatch.from_pydict({"doc_id": none, "key": none, "n": counts[used], "class": none, "bucket": used.astype(np.int32)}, schema=arrow)
 
-    return docs.mapInArrow(run, "doc_id long, n long, class long, bucket int")
+    return docs.mapInArrow(run, "doc_id long, key long, n long, class long, bucket int")
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -112,7 +114,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> D
     def run(batches):
         counts, seen = shared.value, set()
         frequent = 8 * counts.mean()
-        for _, sets in _scan(batches, size):
+        for _, _, sets in _scan(batches, size):
             rows = []
             for s in sets:
                 if not len(s) or (c := class_of(s)) in seen:
@@ -132,13 +134,13 @@ def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> D
 
 
 def _sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """(class, set) of at least the wanted classes.
+    """(class, set) of at least the wanted classes (class, key of one of its texts).
 
-    Which they are goes out as a bit per hash value, a filter of fixed size
-    that lets some others pass; the join that follows sorts those out.
+    Which they are goes out as a bit per key value, a filter of fixed size that
+    lets some others pass; the join that follows sorts those out.
     """
-    bit = F.pmod("class", F.lit(FILTER_BITS))
-    rows = wanted.select((bit / 32).cast("int").alias("at"), F.expr(f"shiftleft(1, cast(pmod(class, {FILTER_BITS}) % 32 as int))").alias("bits")) \
+    bit = f"pmod(key, {FILTER_BITS})"
+    rows = wanted.selectExpr(f"cast({bit} div 32 as int) at", f"shiftleft(1, cast({bit} % 32 as int)) bits") \
         .groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
     bits = np.zeros(FILTER_BITS // 32, dtype=np.int32)
     bits[rows["at"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int32)
@@ -147,10 +149,16 @@ def _sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         bits, seen = shared.value, set()
-        for _, sets in _scan(batches, size):
+
+        def passing():
+            for b in batches:
+                at = b.column(1).to_numpy(zero_copy_only=False) % FILTER_BITS
+                yield b.filter(pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)))
+
+        for _, _, sets in _scan(passing(), size):
             rows = []
             for s in sets:
-                if len(s) and (c := class_of(s)) not in seen and int(bits[(c % FILTER_BITS) >> 5]) >> (c % FILTER_BITS & 31) & 1:
+                if len(s) and (c := class_of(s)) not in seen:
                     seen.add(c)
                     rows.append((c, s.view(np.int64)))
             if len(seen) > 200_000:
@@ -161,17 +169,19 @@ def _sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "class long, set array<long>").dropDuplicates(["class"])
 
 
-def _verified(docs: DataFrame, size: int, percent: int, pairs: DataFrame) -> DataFrame:
-    """The pairs of classes (a, b) whose whole sets are similar enough."""
+def _verified(docs: DataFrame, keys: DataFrame, size: int, percent: int, pairs: DataFrame) -> DataFrame:
+    """The pairs of classes (a, b) whose whole sets are similar enough, as a written table; ``keys``: class, key."""
     pairs = written(pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    sets = written(_sets_of(docs, size, wanted))
-    sets = sets.join(wanted.distinct(), "class", "left_semi")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    sets = written(_sets_of(docs, size, keys.join(wanted, "class", "left_semi")).join(wanted, "class", "left_semi"))
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), "a") \
         .join(sets.select(F.col("class").alias("b"), F.col("set").alias("set_b")), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
-    return both.select("a", "b", shared.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sum")) \
-        .where(F.lit(100) * F.col("both") >= F.lit(percent) * (F.col("sum") - F.col("both"))).select("a", "b")
+    found = written(both.select("a", "b", shared.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sum"))
+                    .where(F.lit(100) * F.col("both") >= F.lit(percent) * (F.col("sum") - F.col("both"))).select("a", "b"))
+    release(pairs)
+    release(sets)
+    return found
 
 
 def _forest(batches):
@@ -224,25 +234,49 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _bounds(a: str, b: str, percent: int):
-    """Size and position of a shared token allow the similarity: as many shingles can still be shared as must be."""
-    n, at = lambda x: F.col(f"{x}n"), lambda x: F.col(f"{x}pos")
-    need = F.ceil(F.lit(percent) * (n(a) + n(b)) / F.lit(100 + percent) - F.lit(1e-9))
-    return (F.lit(100) * F.least(n(a), n(b)) >= F.lit(percent) * F.greatest(n(a), n(b))) & \
-        (F.least(n(a) - at(a), n(b) - at(b)) >= need)
+def _needed(a: str, b: str, percent: int):
+    """How many shingles two sets of these sizes must share."""
+    return F.ceil(F.lit(percent) * (F.col(f"{a}n") + F.col(f"{b}n")) / F.lit(100 + percent) - F.lit(1e-9))
+
+
+def _sizes_fit(a: str, b: str, percent: int):
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
+
+
+def _first_fits(a: str, b: str, percent: int):
+    """As the first shared token: with what follows it on either side, enough shingles can be shared."""
+    return F.least(F.col(f"{a}n") - F.col(f"{a}pos"), F.col(f"{b}n") - F.col(f"{b}pos")) >= _needed(a, b, percent)
+
+
+def _any_fits(a: str, b: str, percent: int):
+    """As any shared token: with as many as there can be before and after it, enough shingles can be shared."""
+    before = F.least(F.col(f"{a}pos"), F.col(f"{b}pos"))
+    return before + F.least(F.col(f"{a}n") - F.col(f"{a}pos"), F.col(f"{b}n") - F.col(f"{b}pos")) >= _needed(a, b, percent)
+
+
+def _enough_shared(common, a: str, b: str, percent: int):
+    """The shared prefix tokens, and all after the prefix that ends first, are enough.
+
+    Shared tokens up to that prefix's end are in both prefixes; the others lie
+    behind the prefix of that set, which has ceil(t n) - 1 shingles there.
+    """
+    behind = lambda x: F.ceil(F.lit(percent) * F.col(f"{x}n") / F.lit(100) - F.lit(1e-9)) - 1
+    return common + F.greatest(behind(a), behind(b)) >= _needed(a, b, percent)
 
 
 def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, n, class per row; links: node, root of the classes that are linked)."""
-    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
     survey = written(_survey(rows, size))
     members = survey.where("bucket is null").select("doc_id", "n", "class")
+    keys = survey.where("class is not null").groupBy("class").agg(F.min("key").alias("key"))
     counts = np.zeros(BUCKETS, dtype=np.int64)
     found = survey.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts[found["bucket"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
 
     classes = written(_prefixes(rows, size, percent, counts))
-    of_group = classes.select("group", "class").distinct()
+    of_group = written(classes.select("group", "class").distinct())
     # A frequent token's list is dealt over 32 lists; their groups meet in the second step.
     tokens = classes.select("group", "n", "light", F.posexplode("tokens").alias("pos", "token")) \
         .select("token", F.when(F.col("pos") < F.col("light"), 0).otherwise(1 + F.pmod("group", F.lit(32))).cast("int").alias("salt"), "pos", "n", "group")
@@ -250,17 +284,18 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[D
     near = tokens.withColumn("before", F.lag("group").over(along)).withColumn("after", F.lead("group").over(along))
     shared = written(near.where("salt > 0 or before is not null or after is not null").where("before is null or before != `group`")
                      .select("token", "salt", "pos", "n", "group"))
+    release(classes)
 
     head, last = F.first(F.struct("pos", "n", "group")).over(along), F.lag(F.struct("pos", "n", "group")).over(along)
     met = shared.withColumn("head", head).withColumn("last", last) \
         .withColumn("x", F.explode(F.array_distinct(F.array("head", "last")))).where("x is not null")
     met = met.select("group", "n", "pos", F.col("x.group").alias("xgroup"), F.col("x.n").alias("xn"), F.col("x.pos").alias("xpos")) \
-        .where("`group` != xgroup").where(_bounds("", "x", percent)).select("group", "xgroup").distinct()
+        .where("`group` != xgroup").where(_sizes_fit("", "x", percent) & _first_fits("", "x", percent)).select("group", "xgroup").distinct()
     first = of_group.groupBy("group").agg(F.min("class").alias("class"))
     inside = of_group.join(first.withColumnRenamed("class", "b"), "group").select(F.col("class").alias("a"), "b")
     across = met.join(first.withColumnRenamed("class", "a"), "group") \
         .join(first.select(F.col("group").alias("xgroup"), F.col("class").alias("b")), "xgroup").select("a", "b")
-    links = written(_verified(rows, size, percent, inside.union(across)))
+    links = _verified(rows, keys, size, percent, inside.union(across))
     joined = components(links)
 
     # The rest: pairs of groups in different components, then of their classes there.
@@ -271,14 +306,15 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[D
     mixed_lists = lists.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
     lists = written(lists.join(mixed_lists, "token", "left_semi"))
     left, right = (lists.select("token", *[F.col(c).alias(x + c) for c in ("pos", "n", "group", "root")]) for x in "lr")
-    cross = left.join(right, "token").where("lroot < rroot").where(_bounds("l", "r", percent)) \
-        .select("lgroup", "lroot", "rgroup", "rroot").distinct()
+    cross = left.join(right, "token").where("lroot < rroot").where(_sizes_fit("l", "r", percent) & _any_fits("l", "r", percent)) \
+        .groupBy("lgroup", "lroot", "rgroup", "rroot").agg(F.count("*").alias("common"), F.first("ln").alias("ln"), F.first("rn").alias("rn")) \
+        .where(_enough_shared(F.col("common"), "l", "r", percent)).select("lgroup", "lroot", "rgroup", "rroot")
     cross = cross.union(spots.select(F.col("group").alias("lgroup"), F.col("root").alias("lroot")).join(
         spots.select(F.col("group").alias("rgroup"), F.col("root").alias("rroot")), F.expr("lgroup = rgroup and lroot < rroot"))
         .select("lgroup", "lroot", "rgroup", "rroot"))
     a = placed.select(F.col("group").alias("lgroup"), F.col("root").alias("lroot"), F.col("class").alias("a"))
     b = placed.select(F.col("group").alias("rgroup"), F.col("root").alias("rroot"), F.col("class").alias("b"))
-    more = written(_verified(rows, size, percent, cross.join(a, ["lgroup", "lroot"]).join(b, ["rgroup", "rroot"]).select("a", "b")))
+    more = _verified(rows, keys, size, percent, cross.join(a, ["lgroup", "lroot"]).join(b, ["rgroup", "rroot"]).select("a", "b"))
     return members, components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(more.select("a", "b")))
 
 

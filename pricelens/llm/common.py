@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pricelens.session import cut_lineage, sf_path
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -25,8 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder: computed once, with no lineage behind it."""
-    return cut_lineage(df)
+    """``df`` as a table in the shared checkpoint folder: computed once, with no lineage behind it.
+
+    Nothing reads the shuffle files of a finished write again, so Spark is
+    told to remove them with it instead of at some later garbage collection.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return cut_lineage(df)
+    finally:
+        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -65,7 +76,7 @@ class WordIds(dict):
     used lately stays, and the size is bounded however many words there are.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], limit: int = 150_000):
+    def __init__(self, encode: Callable[[str], list[int]], limit: int = 350_000):
         super().__init__()
         self.encode, self.limit, self.old = encode, limit, {}
 
@@ -88,6 +99,50 @@ OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 _ENCODERS: dict[tuple, Callable[[str], bytes]] = {}
 
 
+#: A run of letters, after a line break or space or not, and ASCII marks after it: what most chunks are.
+PLAIN = re.compile(r"(\n?)( ?)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+#: Letters below this stay as they are under NFC.
+LATIN_END = "\u0250"
+
+
+def _byte_level() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+def _chunk_encoder(tok) -> Callable[[str], list[int]]:
+    """One chunk → ids.  Plain words go straight to the library's BPE model, all else through its whole pipeline.
+
+    A plain word is one pre-token, and a mark after it another, whatever the
+    family; their byte-level form is then all that normalizer and pre-tokenizer
+    would make of them.  Where the tokenizer lower-cases, so does this.
+    """
+    model, alphabet = tok.model, _byte_level()
+    lower = "Lowercase" in str(tok.normalizer)
+    byte_level = "ByteLevel" in str(tok.pre_tokenizer)
+    space, line = (alphabet[ord(x)] for x in " \n")
+
+    def encode(chunk: str) -> list[int]:
+        plain = PLAIN.fullmatch(chunk) if byte_level else None
+        if not plain:
+            return tok.encode(chunk, add_special_tokens=False).ids
+        before, gap, word, marks = plain.groups()
+        if lower:
+            before, gap, word = "", "", word.lower()
+        if not word.isascii():
+            if not word.isalpha() or max(word) >= LATIN_END:
+                return tok.encode(chunk, add_special_tokens=False).ids
+            word = word.encode().decode("latin-1").translate(alphabet)
+        ids = [t.id for t in model.tokenize(space + word if gap else word)]
+        if marks:
+            ids += [t.id for t in model.tokenize(marks)]
+        return [t.id for t in model.tokenize(line)] + ids if before else ids
+
+    return encode
+
+
 def text_encoder(path: str) -> Callable[[str], bytes]:
     """Whole text → ids (little-endian unsigned 32-bit), by the tokenizer file at ``path``.
 
@@ -105,7 +160,7 @@ def text_encoder(path: str) -> Callable[[str], bytes]:
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
-        words = WordIds(lambda s: tok.encode(s, add_special_tokens=False).ids)
+        words = WordIds(_chunk_encoder(tok))
 
         def encode(text: str) -> bytes:
             if OTHER_SPACE.search(text):

@@ -265,8 +265,23 @@ def _enough_shared(common, a: str, b: str, percent: int):
     return common + F.greatest(behind(a), behind(b)) >= _needed(a, b, percent)
 
 
-def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, n, class per row; links: node, root of the classes that are linked)."""
+def _lists_across(of_group: DataFrame, shared: DataFrame, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(group, class, root of every class; the token lists that hold several roots), written."""
+    placed = written(of_group.join(joined, F.col("class") == F.col("node"), "left")
+                     .select("group", "class", F.coalesce("root", "class").alias("root")))
+    lists = shared.join(placed.select("group", "root").distinct(), "group").select("token", "pos", "n", "group", "root")
+    several = lists.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
+    return placed, written(lists.join(several, "token", "left_semi"))
+
+
+def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(members: doc_id, n, class per row; links: node, root of the classes that are linked).
+
+    ``bridges`` is how often, between the two steps, a few pairs of any two
+    components that are neighbours in a list are tried, so that components of
+    one large group of copies join before all their pairs are looked at; it
+    changes the work, not the result.
+    """
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
     survey = written(_survey(rows, size))
     members = survey.where("bucket is null").select("doc_id", "n", "class")
@@ -284,31 +299,55 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[D
     near = tokens.withColumn("before", F.lag("group").over(along)).withColumn("after", F.lead("group").over(along))
     shared = written(near.where("salt > 0 or before is not null or after is not null").where("before is null or before != `group`")
                      .select("token", "salt", "pos", "n", "group"))
-    release(classes)
 
-    head, last = F.first(F.struct("pos", "n", "group")).over(along), F.lag(F.struct("pos", "n", "group")).over(along)
-    met = shared.withColumn("head", head).withColumn("last", last) \
-        .withColumn("x", F.explode(F.array_distinct(F.array("head", "last")))).where("x is not null")
+    # Each group meets the head of its list and the two groups before it in the order of their numbers, which is
+    # the same in all lists: groups that belong together meet in many lists, and the count tells them.
+    by_group = Window.partitionBy("token", "salt").orderBy("group")
+    entry = F.struct("pos", "n", "group")
+    met = shared.withColumn("head", F.first(entry).over(along)) \
+        .withColumn("one", F.lag(entry).over(by_group)).withColumn("two", F.lag(entry, 2).over(by_group)) \
+        .withColumn("x", F.explode(F.array_distinct(F.array("head", "one", "two")))).where("x is not null")
     met = met.select("group", "n", "pos", F.col("x.group").alias("xgroup"), F.col("x.n").alias("xn"), F.col("x.pos").alias("xpos")) \
-        .where("`group` != xgroup").where(_sizes_fit("", "x", percent) & _first_fits("", "x", percent)).select("group", "xgroup").distinct()
+        .where("`group` != xgroup").where(_sizes_fit("", "x", percent) & _any_fits("", "x", percent)) \
+        .groupBy(F.least("group", "xgroup").alias("group"), F.greatest("group", "xgroup").alias("xgroup")) \
+        .agg(F.count("*").alias("common"), F.max(F.least("n", "xn")).alias("n"), F.max(F.greatest("n", "xn")).alias("xn")) \
+        .where(_enough_shared(F.col("common"), "", "x", percent)).select("group", "xgroup")
     first = of_group.groupBy("group").agg(F.min("class").alias("class"))
     inside = of_group.join(first.withColumnRenamed("class", "b"), "group").select(F.col("class").alias("a"), "b")
     across = met.join(first.withColumnRenamed("class", "a"), "group") \
         .join(first.select(F.col("group").alias("xgroup"), F.col("class").alias("b")), "xgroup").select("a", "b")
     links = _verified(rows, keys, size, percent, inside.union(across))
-    joined = components(links)
-
-    # The rest: pairs of groups in different components, then of their classes there.
-    placed = written(of_group.join(joined, F.col("class") == F.col("node"), "left")
-                     .select("group", "class", F.coalesce("root", "class").alias("root")))
+    joined = components(links.toDF("u", "v"))
+
+    for _ in range(bridges):
+        placed, lists = _lists_across(of_group, shared, joined)
+        by_draw = Window.partitionBy("token").orderBy(F.hash("group"))
+        entry = F.struct("pos", "n", "group", "root")
+        near = lists.withColumn("x", F.lag(entry).over(by_draw)).union(lists.withColumn("x", F.lag(entry, 2).over(by_draw))).where("root != x.root")
+        near = near.select("group", "root", "n", "pos", *[F.col(f"x.{c}").alias(f"x{c}") for c in ("group", "root", "n", "pos")]) \
+            .where(_sizes_fit("", "x", percent) & _any_fits("", "x", percent)) \
+            .groupBy("group", "root", "n", "xgroup", "xroot", "xn").agg(F.count("*").alias("common")) \
+            .where(_enough_shared(F.col("common"), "", "x", percent))
+        few = Window.partitionBy(F.least("root", "xroot"), F.greatest("root", "xroot")).orderBy(F.desc("common"), "group", "xgroup")
+        some = placed.groupBy("group", "root").agg(F.min("class").alias("class"))
+        pairs = near.withColumn("nth", F.row_number().over(few)).where("nth <= 4") \
+            .join(some.withColumnRenamed("class", "a"), ["group", "root"]) \
+            .join(some.select(F.col("group").alias("xgroup"), F.col("root").alias("xroot"), F.col("class").alias("b")), ["xgroup", "xroot"])
+        found = _verified(rows, keys, size, percent, pairs.select("a", "b"))
+        links = written(links.union(found))
+        joined = components(links.toDF("u", "v"))
+
+    # The rest: all pairs of groups in different components, then of their classes there.
+    placed, lists = _lists_across(of_group, shared, joined)
     spots = placed.select("group", "root").distinct()
-    lists = shared.join(spots, "group").select("token", "pos", "n", "group", "root")
-    mixed_lists = lists.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
-    lists = written(lists.join(mixed_lists, "token", "left_semi"))
     left, right = (lists.select("token", *[F.col(c).alias(x + c) for c in ("pos", "n", "group", "root")]) for x in "lr")
-    cross = left.join(right, "token").where("lroot < rroot").where(_sizes_fit("l", "r", percent) & _any_fits("l", "r", percent)) \
-        .groupBy("lgroup", "lroot", "rgroup", "rroot").agg(F.count("*").alias("common"), F.first("ln").alias("ln"), F.first("rn").alias("rn")) \
-        .where(_enough_shared(F.col("common"), "l", "r", percent)).select("lgroup", "lroot", "rgroup", "rroot")
+    cross = written(left.join(right, "token").where("lroot < rroot").where(_sizes_fit("l", "r", percent) & _first_fits("l", "r", percent))
+                    .select("lgroup", "lroot", "ln", "rgroup", "rroot", "rn").distinct())
+    wanted = cross.select(F.explode(F.array("lgroup", "rgroup")).alias("group")).distinct()
+    prefix = written(classes.select("group", "tokens").join(wanted, "group", "left_semi").dropDuplicates(["group"]))
+    release(classes)
+    cross = cross.join(prefix.toDF("lgroup", "ltokens"), "lgroup").join(prefix.toDF("rgroup", "rtokens"), "rgroup") \
+        .where(_enough_shared(F.size(F.array_intersect("ltokens", "rtokens")), "l", "r", percent)).select("lgroup", "lroot", "rgroup", "rroot")
     cross = cross.union(spots.select(F.col("group").alias("lgroup"), F.col("root").alias("lroot")).join(
         spots.select(F.col("group").alias("rgroup"), F.col("root").alias("rroot")), F.expr("lgroup = rgroup and lroot < rroot"))
         .select("lgroup", "lroot", "rgroup", "rroot"))

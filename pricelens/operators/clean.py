@@ -90,14 +90,14 @@ def clean_listings(raw: DataFrame, reference_year: int = REFERENCE_YEAR) -> Data
 
 
 def column_kinds(df: DataFrame, label: str = LABEL, exclude=("listing_id",)) -> tuple[list[str], list[str]]:
-    """Split columns into (text → categorical, int/double → numeric), label excluded."""
-    from pyspark.sql.types import DoubleType, IntegerType
+    """Split columns into (text → categorical, any number or boolean → numeric), label excluded."""
+    from pyspark.sql.types import BooleanType
     cats, nums = [], []
     for f in df.schema.fields:
         if f.name == label or f.name in exclude:
             continue
         if isinstance(f.dataType, StringType):
             cats.append(f.name)
-        elif isinstance(f.dataType, (IntegerType, DoubleType)):
+        elif isinstance(f.dataType, (NumericType, BooleanType)):
             nums.append(f.name)
     return cats, nums

@@ -24,7 +24,16 @@ FEATURES = "features"
 SCALED = "scaled_features"
 
 
+def with_row_id(df: DataFrame, id_col: str = ID) -> DataFrame:
+    """``df`` with an id: where it has none, a hash over all its columns, so equal rows share one."""
+    if id_col in df.columns:
+        return df
+    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    return df.withColumn(id_col, F.md5(F.concat_ws("|", *text)))
+
+
 def with_split_key(df: DataFrame, id_col: str = ID) -> DataFrame:
+    df = with_row_id(df, id_col)
     return df if "split_key" in df.columns else df.withColumn("split_key", split_key(id_col))
 
 
@@ -88,6 +97,7 @@ def prepare(clean: DataFrame, profile: str = "narrow", train_tenths: int = 8,
     order and the scaler statistics.
     """
     cats, nums = profile_columns(profile)
+    clean = with_row_id(clean)
     train, test = split(clean, train_tenths)
     model = feature_pipeline(cats, nums).fit(train)
     cols = [c for c in keep if c in clean.columns] + ["split_key", SCALED]

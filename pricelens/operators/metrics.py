@@ -14,15 +14,17 @@ from ..schema import LABEL
 
 
 def metric_columns(label: str = LABEL, prediction: str = "prediction") -> list[Column]:
-    err = F.col(label) - F.col(prediction)
-    n = F.count(F.lit(1))
+    """Over the rows that have both values; R² is null where the label doesn't vary."""
+    both = F.col(label).isNotNull() & F.col(prediction).isNotNull()
+    err = F.when(both, F.col(label) - F.col(prediction))
+    n = F.count(err)
     sse = F.sum(err * err)
-    sst = F.var_pop(F.col(label)) * n
+    sst = F.var_pop(F.when(both, F.col(label))) * n
     return [
-        F.sqrt(sse / n).alias("rmse"),
-        (sse / n).alias("mse"),
+        F.sqrt(F.try_divide(sse, n)).alias("rmse"),
+        F.try_divide(sse, n).alias("mse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - sse / sst).alias("r2"),
+        (F.lit(1.0) - F.try_divide(sse, sst)).alias("r2"),
         n.cast("bigint").alias("n"),
     ]
 

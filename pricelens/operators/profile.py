@@ -3,9 +3,8 @@
 Every statistic is an aggregation with map-side partial aggregation; the
 driver only ever sees small statistics rows (min, max, quartiles…) that
 parameterise a later pass.  Exact quartiles come from
-``operators.quantiles.exact_quantiles``: a one-pass ``percentile`` when an
-approximate distinct count proves its per-task value map small, otherwise a
-range-partitioned rank search in which no task holds a whole group.
+``operators.quantiles.exact_quantiles``: a range-partitioned rank search in
+which no task holds a whole group.
 ``exact=False`` switches to ``percentile_approx``.
 """
 
@@ -42,8 +41,6 @@ def describe_numeric(df: DataFrame, columns, exact: bool = True) -> DataFrame:
                  F.stddev_samp(c).alias(f"s{i}"), F.min(c).cast("double").alias(f"lo{i}"),
                  F.max(c).cast("double").alias(f"hi{i}")]
         if exact:
-            aggs.append(F.approx_count_distinct(c).alias(f"d{i}"))
-        else:
             aggs.append(_approx_quantiles(c, QUARTILES).alias(f"q{i}"))
     wide = df.agg(*aggs)
     if not exact:
@@ -57,9 +54,7 @@ def describe_numeric(df: DataFrame, columns, exact: bool = True) -> DataFrame:
         "column_name string, count bigint, mean double, std double, min double, max double")
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
     long = df.select(F.expr(f"stack({len(columns)}, {stack}) AS (column_name, v)"))
-    hint = max((w[f"d{i}"] or 0) for i in range(len(columns)))
-    q = quantile_row(exact_quantiles(long, "v", QUARTILES, by=["column_name"], distinct_hint=hint),
-                     QUARTILES, ["column_name"])
+    q = quantile_row(exact_quantiles(long, "v", QUARTILES, by=["column_name"]), QUARTILES, ["column_name"])
     return stats.join(q, "column_name", "left").select(
         "column_name", "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
         F.col("q2").alias("p75"), "max")
@@ -67,13 +62,13 @@ def describe_numeric(df: DataFrame, columns, exact: bool = True) -> DataFrame:
 
 def distribution_stats(df: DataFrame, c: str, exact: bool = True) -> dict:
     """n, min, max, stddev and quartiles of one column (small rows to the driver)."""
-    extra = [F.approx_count_distinct(c).alias("d")] if exact else [_approx_quantiles(c, QUARTILES).alias("q")]
+    extra = [] if exact else [_approx_quantiles(c, QUARTILES).alias("q")]
     r = df.agg(F.count(c).alias("n"), F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
                F.stddev_samp(c).alias("std"), *extra).first()
     if not r["n"]:
         q = [None, None, None]
     elif exact:
-        got = {row["p"]: row["value"] for row in exact_quantiles(df, c, QUARTILES, distinct_hint=r["d"]).collect()}
+        got = {row["p"]: row["value"] for row in exact_quantiles(df, c, QUARTILES).collect()}
         q = [got[p] for p in QUARTILES]
     else:
         q = r["q"]
@@ -122,10 +117,14 @@ def kde(df: DataFrame, c: str = LABEL, points: int = GRID_POINTS) -> DataFrame:
     Rows are first collapsed to (value, count) with partial aggregation, so
     the kernel work grows with the distinct values, not the rows; each value
     adds its weighted kernel to every grid point and the per-point sums are
-    again partially aggregated (``points`` groups).
+    again partially aggregated (``points`` groups).  A column that is empty or
+    constant has no density: no rows.
     """
-    st = distribution_stats(df, c)
+    st = df.agg(F.count(c).alias("n"), F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
+                F.stddev_samp(c).alias("std")).first()
     n, lo, hi, std = st["n"], st["lo"], st["hi"], st["std"]
+    if not std:
+        return df.sparkSession.createDataFrame([], "j int, x double, density double")
     h = std * n ** (-0.2)
     step = (hi - lo) / (points - 1)
     norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
@@ -138,19 +137,23 @@ def kde(df: DataFrame, c: str = LABEL, points: int = GRID_POINTS) -> DataFrame:
                    .select(F.col("j").cast("int").alias("j"), x.alias("x"), (F.col("s") * F.lit(norm)).alias("density")))
 
 
-def box_stats(df: DataFrame, c: str = LABEL, by: str | None = None, exact: bool = True,
-              bounded_groups: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, c: str = LABEL, by: str | None = None, exact: bool = True) -> DataFrame:
     """Quartiles, whiskers at 1.5·IQR (most extreme data inside), outlier count.
 
     Two passes.  Without groups the quartiles are one small row and the
     fences become literals of the second pass.  With groups each row is
     equi-joined to its group's fences (one row per group; AQE broadcasts that
-    table only when its measured size is under the threshold).  Pass
-    ``bounded_groups=True`` when the caller has capped the number of groups
-    (e.g. after ``keep_top_categories``) to broadcast the fences outright.
+    table only when its measured size is under the threshold).  An empty
+    column has null statistics and counts of 0.
     """
     if by is None:
         st = distribution_stats(df, c, exact)
+        if not st["n"]:
+            names = ("q1", "median", "q3", "iqr", "whisker_low", "whisker_high")
+            none = {x: F.lit(None).cast("double").alias(x) for x in names}
+            zero = {x: F.lit(0).cast("bigint").alias(x) for x in ("n", "n_outliers")}
+            order = ("q1", "median", "q3", "n", "iqr", "whisker_low", "whisker_high", "n_outliers")
+            return df.sparkSession.range(1).select(*[(none | zero)[x] for x in order])
         iqr = st["q3"] - st["q1"]
         f_lo, f_hi = st["q1"] - 1.5 * iqr, st["q3"] + 1.5 * iqr
         inside = F.col(c).between(F.lit(f_lo), F.lit(f_hi))
@@ -170,7 +173,7 @@ def box_stats(df: DataFrame, c: str = LABEL, by: str | None = None, exact: bool
     fences = q.select(by, (F.col("q1") - 1.5 * F.col("iqr")).alias("f_lo"),
                       (F.col("q3") + 1.5 * F.col("iqr")).alias("f_hi"))
     joined = df.filter(F.col(c).isNotNull()).select(by, F.col(c).alias("v")).join(
-        F.broadcast(fences) if bounded_groups else fences, by)
+        fences, by)
     inside = F.col("v").between(F.col("f_lo"), F.col("f_hi"))
     w = joined.groupBy(by).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
@@ -265,6 +268,6 @@ def profile(df: DataFrame, numeric=("Year", "Age", "kmDriven", LABEL), categorie
         "price_by_km": binned_2d(df, "kmDriven", LABEL),
         "relations": numeric_relation(df, LABEL, ["Year", "kmDriven"]),
         "category_counts": category_counts(df, list(categories)),
-        **{f"box_by_{c}": box_stats(keep_top_categories(df, c), LABEL, by=c, bounded_groups=True)
+        **{f"box_by_{c}": box_stats(keep_top_categories(df, c), LABEL, by=c)
            for c in categories},
     }

@@ -1,59 +1,40 @@
 """Exact quantiles (linear interpolation between order statistics) at any size.
 
-Two ways to the same numbers:
-
-* ``aggregate`` — Spark's ``percentile``: one pass, but the final merge of a
-  group keeps a value→count map of all the group's distinct values in one
-  task.  Used only when an approximate distinct count shows the map is small.
-* ``ranked`` — no task ever holds a whole group: values are collapsed to
-  (value, count), range-partitioned by (group, value) into bounded ranges,
-  and written to the checkpoint folder with their range id.  Per-range totals
-  (one row per range and group) locate the ranges holding the wanted ranks;
-  a running count inside just those ranges picks the order statistics.  A hot
-  value is one (value, count) row, so skew does not unbalance the ranges.
+No task ever holds a whole group: values are collapsed to (value, count),
+range-partitioned by (group, value) into bounded ranges and written to the
+checkpoint folder with their range id.  Running totals over the ranges locate
+the range of each wanted rank; a running count inside just those ranges picks
+the order statistics.  A hot value is one (value, count) row, so skew does not
+unbalance the ranges.  Nothing passes through the driver.
 
 The position of quantile ``p`` among ``n`` values is ``p·(n−1)`` (0-based), as
 in Spark's ``percentile`` and SQL's ``quantile_cont``/``percentile_cont``.
+``method="aggregate"`` is Spark's one-pass ``percentile`` for callers that know
+a group has few distinct values; it is never chosen by itself.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
-# Distinct values one task may keep in a value→count map (aggregate method).
-MAP_STATE_LIMIT = 1_000_000
-# (value, count) rows per range in the ranked method.
+# (value, count) rows per range.
 ROWS_PER_RANGE = 200_000
 
 
 def _base(df: DataFrame, col: str, keys) -> DataFrame:
-    return df.filter(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("v"))
+    # Adding 0.0 makes -0.0 and 0.0 one value.
+    return df.filter(F.col(col).isNotNull()).select(*keys, (F.col(col).cast("double") + F.lit(0.0)).alias("v"))
 
 
-def distinct_upper(df: DataFrame, col: str, keys=()) -> int:
-    """Approximate largest number of distinct values in any group (one pass)."""
-    base = _base(df, col, list(keys))
-    d = (base.groupBy(*keys).agg(F.approx_count_distinct("v").alias("d")).agg(F.max("d")) if keys
-         else base.agg(F.approx_count_distinct("v")))
-    return int(d.first()[0] or 0)
-
-
-def exact_quantiles(df: DataFrame, col: str, probs, by=None, method: str = "auto",
-                    distinct_hint: int | None = None) -> DataFrame:
-    """``(by…, p, value)`` for every group and probability."""
+def exact_quantiles(df: DataFrame, col: str, probs, by=None, method: str = "ranked") -> DataFrame:
+    """``(by…, p, value)`` for every group and probability; groups without a value have none."""
     keys = list(by or [])
     probs = [float(p) for p in probs]
-    if method == "auto":
-        d = distinct_hint if distinct_hint is not None else distinct_upper(df, col, keys)
-        # 5 % head-room over the sketch's typical error.
-        method = "aggregate" if d * 1.05 <= MAP_STATE_LIMIT else "ranked"
     base = _base(df, col, keys)
     if method == "aggregate":
         arr = F.array(*[F.lit(p) for p in probs])
@@ -66,60 +47,32 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=None, method: str = "auto
 
 
 def _ranked(base: DataFrame, keys, probs) -> DataFrame:
-    spark = base.sparkSession
-    vc = base.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
-    ranges = max(spark.sparkContext.defaultParallelism, math.ceil(vc.count() / ROWS_PER_RANGE))
-    ranged = cut_lineage(vc.repartitionByRange(ranges, *keys, "v").withColumn("rid", F.spark_partition_id()))
-
-    # One row per (group, range): bounded by ranges + groups.
-    totals = ranged.groupBy(*keys, "rid").agg(F.sum("c").alias("s")).collect()
-    per_group = defaultdict(list)
-    for r in totals:
-        per_group[tuple(r[k] for k in keys)].append((r["rid"], r["s"]))
-
-    key_fields = [f for f in base.schema.fields if f.name in keys]
-    targets, wanted = [], {}
-    for g, parts in per_group.items():
-        parts.sort()
-        n = sum(s for _, s in parts)
-        starts, acc = [], 0
-        for rid, s in parts:
-            starts.append((rid, acc, s))
-            acc += s
-        for p in probs:
-            pos = p * (n - 1)
-            for rank in {math.floor(pos), math.ceil(pos)}:
-                for rid, start, s in starts:
-                    if start <= rank < start + s:
-                        targets.append((*g, rid, rank - start, rank))
-                        break
-            wanted[(g, p)] = pos
-    schema = T.StructType(key_fields + [T.StructField("rid", T.IntegerType()),
-                                        T.StructField("local_rank", T.LongType()),
-                                        T.StructField("rank", T.LongType())])
-    tdf = spark.createDataFrame(targets, schema)
-    # Only the ranges holding a wanted rank are scanned for running counts;
-    # each window partition is one range of one group (≤ ROWS_PER_RANGE rows).
-    tsel = tdf.select(*keys, "rid").distinct()
-    hit_ranges = ranged.join(tsel, [ranged[k].eqNullSafe(tsel[k]) for k in keys] + [ranged["rid"] == tsel["rid"]],
-                             "left_semi")
-    w = Window.partitionBy(*keys, "rid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hit_ranges.withColumn("upto", F.sum("c").over(w)).withColumn("from_", F.col("upto") - F.col("c"))
-    hits = (cum.alias("a").join(tdf.alias("t"), [F.col(f"a.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-                                + [F.col("a.rid") == F.col("t.rid")])
-               .filter((F.col("a.from_") <= F.col("t.local_rank")) & (F.col("t.local_rank") < F.col("a.upto")))
-               .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("t.rank").alias("rank"),
-                       F.col("a.v").alias("v"))
-               .collect())
-    value_at = {(tuple(r[k] for k in keys), r["rank"]): r["v"] for r in hits}
-    rows = []
-    for (g, p), pos in wanted.items():
-        lo, hi = math.floor(pos), math.ceil(pos)
-        x_lo, x_hi = value_at[(g, lo)], value_at[(g, hi)]
-        val = x_lo if lo == hi or x_lo == x_hi else (hi - pos) * x_lo + (pos - lo) * x_hi
-        rows.append((*g, p, float(val)))
-    out = T.StructType(key_fields + [T.StructField("p", T.DoubleType()), T.StructField("value", T.DoubleType())])
-    return spark.createDataFrame(rows, out)
+    counted = cut_lineage(base.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")))
+    ranges = max(1, math.ceil(counted.count() / ROWS_PER_RANGE))
+    ranged = cut_lineage(counted.repartitionByRange(ranges, *keys, "v").withColumn("rid", F.spark_partition_id()))
+    same = lambda a, b, names: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in names]
+
+    # One row per (group, range): where the range begins in its group, and the ranks wanted there.
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    totals = ranged.groupBy(*keys, "rid").agg(F.sum("c").alias("s"))
+    starts = totals.withColumn("start", F.sum("s").over(group.orderBy("rid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("s")) \
+        .withColumn("n", F.sum("s").over(group))
+    wanted = starts.withColumn("p", F.explode(F.array(*[F.lit(p) for p in probs]))) \
+        .withColumn("pos", F.col("p") * (F.col("n") - 1)) \
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos"))))) \
+        .where("rank >= start and rank < start + s").select(*keys, "rid", "start", "p", "pos", "rank")
+
+    # A running count in the ranges that hold a wanted rank, each at most ROWS_PER_RANGE rows.
+    inside = Window.partitionBy(*keys, "rid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    hit = ranged.alias("a").join(wanted.select(*keys, "rid").distinct().alias("b"), same("a", "b", [*keys, "rid"]), "left_semi") \
+        .withColumn("upto", F.sum("c").over(inside))
+    found = hit.alias("a").join(wanted.alias("w"), same("a", "w", [*keys, "rid"])) \
+        .where("w.rank - w.start >= a.upto - a.c and w.rank - w.start < a.upto") \
+        .select(*[F.col(f"a.{k}").alias(k) for k in keys], "w.p", "w.pos", "w.rank", "a.v")
+    at = lambda rank: F.max(F.when(F.col("rank") == rank, F.col("v")))
+    ends = found.groupBy(*keys, "p", "pos").agg(at(F.floor("pos")).alias("lo"), at(F.ceil("pos")).alias("hi"))
+    between = (F.ceil("pos") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.floor("pos")) * F.col("hi")
+    return ends.select(*keys, "p", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(between).alias("value"))
 
 
 def quantile_row(q: DataFrame, probs, keys=()) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..operators.features import (FEATURES, SCALED, feature_pipeline, profile_columns, scaler_std, split,
-                                  vector_long)
+from ..functions.columns import is_train
+from ..operators.features import (FEATURES, SCALED, feature_pipeline, index_labels, profile_columns, scaler_std, split,
+                                  vector_long, with_split_key)
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID
+from ..sources.artifacts import artifact_dir
+from ..sources.listings import raw_listings, read_raw_csv, write_clean
 from .common import clean, materialized
 
 CATS, NUMS = profile_columns("narrow")
@@ -21,6 +25,11 @@ def _fitted(spark, sf_dir):
     return train, test, model
 
 
+def _fitted_all(spark, sf_dir):
+    rows = with_split_key(materialized(spark, sf_dir, [ID, *CATS, *NUMS, "AskPrice"]))
+    return rows, feature_pipeline(CATS, NUMS).fit(rows.filter(is_train(F.col("split_key"))))
+
+
 # --- oracle building blocks --------------------------------------------------
 
 def _labels_sql() -> str:
@@ -35,7 +44,7 @@ def _labels_sql() -> str:
             "total AS (SELECT sum(k) AS width FROM sizes)")
 
 
-def _assembled_sql(src: str = "test") -> str:
+def _assembled_sql(src: str = "keyed") -> str:
     parts = [f"SELECT t.listing_id, CAST(o.off + l.idx AS INTEGER) AS idx, 1.0 AS value FROM {src} t "
              f"JOIN lab l ON l.column_name = '{c}' AND l.label = t.{c} JOIN offs o ON o.column_name = '{c}'"
              for c in CATS]
@@ -58,10 +67,23 @@ SELECT CASE WHEN split_key % 10 < 8 THEN 'train' ELSE 'test' END AS split, CAST(
 FROM keyed GROUP BY 1"""))
 def q_split_counts(spark, sf_dir):
     """Rows on each side of the hash split (no shuffle of the rows themselves)."""
-    train, test = split(clean(spark, sf_dir))
-    return (train.select(F.lit("train").alias("split"))
-            .unionByName(test.select(F.lit("test").alias("split")))
-            .groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    side = F.when(is_train(F.col("split_key")), "train").otherwise("test")
+    return (with_split_key(clean(spark, sf_dir)).groupBy(side.alias("split"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+@register("train_csv_no_id", with_listings("""
+, keyed_raw AS (SELECT CAST('0x' || substr(md5(md5(concat_ws('|', coalesce(Brand,''), coalesce(model,''), coalesce(Year,''), coalesce(kmDriven,''),
+ coalesce(Transmission,''), coalesce(Owner,''), coalesce(FuelType,''), coalesce(PostedDate,''), coalesce(AdditionInfo,''), coalesce(AskPrice,'')))), 1, 8) AS BIGINT) AS k
+ FROM listings)
+SELECT CASE WHEN k % 10 < 8 THEN 'train' ELSE 'test' END AS split, CAST(count(*) AS BIGINT) AS n FROM keyed_raw GROUP BY 1""".replace(", keyed_raw", "WITH keyed_raw", 1), clean=False))
+def q_train_csv_no_id(spark, sf_dir):
+    """Split of a listing file without an id column: written as CSV, read back, keyed by a hash of each row."""
+    path = f"{artifact_dir(spark, 'csv_no_id')}/{uuid.uuid4().hex}"
+    write_clean(raw_listings(spark, sf_dir).drop(ID), path, fmt="csv")
+    side = F.when(is_train(F.col("split_key")), "train").otherwise("test")
+    return (with_split_key(read_raw_csv(spark, path)).groupBy(side.alias("split"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
 @register("string_index", with_listings(f"""
@@ -78,14 +100,15 @@ def q_string_index(spark, sf_dir):
 
 @register("one_hot_long", with_listings(f"""
 WITH {_labels_sql()}
-SELECT t.listing_id, l.column_name, CAST(l.idx AS INTEGER) AS slot FROM test t
+SELECT t.listing_id, l.column_name, CAST(l.idx AS INTEGER) AS slot FROM keyed t
 JOIN lab l ON (l.column_name = 'Brand' AND l.label = t.Brand) OR (l.column_name = 'Transmission' AND l.label = t.Transmission)
  OR (l.column_name = 'FuelType' AND l.label = t.FuelType) OR (l.column_name = 'Owner' AND l.label = t.Owner)"""))
 def q_one_hot_long(spark, sf_dir):
-    """The hot slot of each one-hot block for test rows; unseen labels have none."""
-    _, test, model = _fitted(spark, sf_dir)
-    t = model.transform(test)
-    slots = [(F.array_position(vector_to_array(f"{c}_vec"), 1.0) - 1).cast("int") for c in CATS]
+    """The hot slot of each one-hot block of every row (its index; the extra one for unseen labels has no slot)."""
+    rows, model = _fitted_all(spark, sf_dir)
+    t = model.transform(rows)
+    sizes = index_labels(model)
+    slots = [F.when(F.col(f"{c}_index") < len(sizes[c]), F.col(f"{c}_index")).otherwise(-1).cast("int") for c in CATS]
     stack = ", ".join(f"'{c}', s{i}" for i, c in enumerate(CATS))
     return (t.select(ID, *[s.alias(f"s{i}") for i, s in enumerate(slots)])
              .select(ID, F.expr(f"stack({len(CATS)}, {stack}) AS (column_name, slot)"))
@@ -96,9 +119,9 @@ def q_one_hot_long(spark, sf_dir):
 WITH {_labels_sql()}, {_assembled_sql()}
 SELECT listing_id, idx, value FROM assembled"""))
 def q_assemble_long(spark, sf_dir):
-    """Non-zero entries of the assembled (unscaled) vector of every test row."""
-    _, test, model = _fitted(spark, sf_dir)
-    return vector_long(model.transform(test), FEATURES)
+    """Non-zero entries of the assembled (unscaled) vector of every row."""
+    rows, model = _fitted_all(spark, sf_dir)
+    return vector_long(model.transform(rows), FEATURES)
 
 
 @register("scaler_stats", with_listings(f"""
@@ -116,9 +139,9 @@ WITH {_labels_sql()}, {_assembled_sql()}, {_std_sql()}
 SELECT a.listing_id, a.idx, round(a.value * (1.0 / s.std), 6) AS value
 FROM assembled a JOIN stds s USING (idx)"""))
 def q_scaled_long(spark, sf_dir):
-    """Non-zero entries of the scaled vector of every test row (divided by the training std)."""
-    _, test, model = _fitted(spark, sf_dir)
-    out = vector_long(model.transform(test), SCALED)
+    """Non-zero entries of the scaled vector of every row (divided by the training std)."""
+    rows, model = _fitted_all(spark, sf_dir)
+    out = vector_long(model.transform(rows), SCALED)
     return out.select(ID, "idx", F.round("value", 6).alias("value"))
 
 
@@ -134,7 +157,7 @@ UNION ALL SELECT 'total', CAST(sum(slots) + {len(_WIDE_NUMS)} AS BIGINT) FROM pe
 def q_wide_feature_layout(spark, sf_dir):
     """Vector layout of the wide profile (every text column one-hot, then Year, Age, kmDriven):
     slots per column = labels seen in training (the unknown slot is the one dropped)."""
-    from ..operators.features import feature_names, index_labels
+    from ..operators.features import feature_names
     train, _ = split(materialized(spark, sf_dir, [ID, *_WIDE_CATS, *_WIDE_NUMS, "AskPrice"]))
     model = feature_pipeline(_WIDE_CATS, _WIDE_NUMS).fit(train)
     labels = index_labels(model)

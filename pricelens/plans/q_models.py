@@ -13,6 +13,8 @@ by row count only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ from ..schema import ID, LABEL, MARKET_FACTOR, SEED
 from ..sources.artifacts import artifact_dir, load_artifacts
 from .common import clean, materialized
 from .q_serve import requests
-from .score import predict, score_requests
+from .score import all_requests, predict, score_requests
 from .train import train as train_job
 
 YEAR_COLS = [ID, "Year", "kmDriven", LABEL]
@@ -64,7 +66,7 @@ def flagship_scores(spark, sf_dir, family: str = "Linear Regression"):
     est = {"Linear Regression": LinearRegression, "Random Forest": RandomForestRegressor,
            "Gradient Boosting": GBTRegressor}[family](featuresCol=SCALED, labelCol=LABEL)
     model = est.fit(prep.train)
-    return predict(df, prep.pipeline_model, model, family, MARKET_FACTOR)
+    return predict(df, prep.pipeline_model, model, family, MARKET_FACTOR, keep=(ID,))
 
 
 @register("score_batch")
@@ -260,7 +262,7 @@ def q_tuned_vs_base(spark, sf_dir):
 @register("train_job")
 def q_train_job(spark, sf_dir):
     """The whole training job (compare, tune the best, save artefacts); its metrics table."""
-    out = artifact_dir(spark, "train_job")
+    out = f"{artifact_dir(spark, 'train_job')}/{uuid.uuid4().hex}"
     res = train_job(clean(spark, sf_dir), out, "narrow")
     return res.comparison.metrics.drop("fit_seconds").withColumn(
         "chosen", (F.col("model") == F.lit(res.best_name)) & F.lit(True)).withColumn(
@@ -270,18 +272,15 @@ def q_train_job(spark, sf_dir):
 @register("score_from_saved")
 def q_score_from_saved(spark, sf_dir):
     """Train without tuning, save, load the artefacts back and score the raw listings as requests."""
-    out = artifact_dir(spark, "score_from_saved")
+    out = f"{artifact_dir(spark, 'score_from_saved')}/{uuid.uuid4().hex}"
     train_job(clean(spark, sf_dir), out, "narrow", tune=False, save_clean=False)
     art = load_artifacts(spark, out)
-    scored, _ = score_requests(requests(spark, sf_dir), art)
-    return scored
+    return all_requests(*score_requests(requests(spark, sf_dir), art))
 
 
 @register("score_stream")
 def q_score_stream(spark, sf_dir):
     """Requests written as files, scored by the streaming job (available-now trigger)."""
-    import uuid
-
     from ..streaming.score_stream import REQUEST_FILE_SCHEMA, score_stream
     base = artifact_dir(spark, f"score_stream/{uuid.uuid4().hex}")
     train_job(clean(spark, sf_dir), f"{base}/model", "narrow", tune=False, save_clean=False)
@@ -290,4 +289,5 @@ def q_score_stream(spark, sf_dir):
                  for f in REQUEST_FILE_SCHEMA.fields]).write.mode("overwrite").parquet(f"{base}/requests")
     for h in score_stream(spark, f"{base}/model", f"{base}/requests", f"{base}/out", checkpoint_dir=f"{base}/ckpt"):
         h.awaitTermination()
-    return spark.read.parquet(f"{base}/out/scored")
+    bad = spark.read.parquet(f"{base}/out/quarantine").withColumn("errors", F.split("errors", "; "))
+    return all_requests(spark.read.parquet(f"{base}/out/scored"), bad)

@@ -117,7 +117,7 @@ kept AS (SELECT * FROM clean WHERE Brand IN (SELECT Brand FROM top))"""
 def q_price_box_by_brand(spark, sf_dir):
     """Box statistics of the price for each of the ten most frequent brands."""
     kept = keep_top_categories(materialized(spark, sf_dir, ["Brand", LABEL]), "Brand")
-    return _box_out(box_stats(kept, LABEL, by="Brand", bounded_groups=True), ["Brand"])
+    return _box_out(box_stats(kept, LABEL, by="Brand"), ["Brand"])
 
 
 # --- relationships ----------------------------------------------------------

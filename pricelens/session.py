@@ -130,20 +130,5 @@ def release(df: DataFrame) -> bool:
     return bool(fs.delete(table, True))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than the cluster has cores.
-
-    A big input already has many more splits than cores and passes through
-    untouched; only a small file with a few row groups (which parquet cannot
-    split further) is spread so every core gets a share of the row work.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without an RDD view (e.g. Spark Connect)
-        return df
-    return df.repartition(cores) if parts < cores else df
-
-
 def sf_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

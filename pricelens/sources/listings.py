@@ -9,15 +9,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import CLEAN_SCHEMA, ID, RAW_COLUMNS
-from ..session import sf_path, spread
+from ..session import sf_path
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                     "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"]
 PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"]
+CSV = {"header": True, "quote": '"', "escape": '"'}
 ORDERS_COLUMNS = ["o_orderkey", "o_orderdate", "o_orderpriority"]
 
 
@@ -29,7 +31,7 @@ def _joined_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     are sort-merge joins on the key, and skewed key partitions are split by
     the AQE skew-join rule.
     """
-    li = spread(spark.read.parquet(sf_path(sf_dir, "lineitem")).select(*LINEITEM_COLUMNS))
+    li = spark.read.parquet(sf_path(sf_dir, "lineitem")).select(*LINEITEM_COLUMNS)
     orders = spark.read.parquet(sf_path(sf_dir, "orders")).select(*ORDERS_COLUMNS)
     part = spark.read.parquet(sf_path(sf_dir, "part")).select(*PART_COLUMNS)
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -81,26 +83,26 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a raw listing CSV with a header, every column as text.
 
-    Columns are matched by their header names, so files with or without
-    optional columns (``Age``, ``listing_id``) read the same way.  No type
+    Columns are named by the header of the first file; several files of one
+    folder or glob must have the same columns in the same order.  Text keeps
+    its line breaks, quotes and outer spaces.  No type
     inference: no extra pass over the data, and no column silently turning
     into a date or boolean that the feature step would then ignore.
     """
-    require_path(spark, path)
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return _csv(spark, path, spark.read.option("inferSchema", False))
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a clean listing CSV written by ``write_clean``."""
-    require_path(spark, path)
-    return spark.read.schema(CLEAN_SCHEMA).option("header", True).csv(path)
+    return _csv(spark, path, spark.read.schema(CLEAN_SCHEMA))
 
 
 def write_clean(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write a clean listing table from the executors (no driver collect)."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(**CSV).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
+            .option("emptyValue", '""').csv(path)
     else:
         w.parquet(path)
 
@@ -109,10 +111,11 @@ def raw_columns_present(df: DataFrame) -> list[str]:
     return [c for c in RAW_COLUMNS if c in df.columns]
 
 
-def require_path(spark: SparkSession, path: str) -> None:
-    """Fail early, with the path in the message, when an input is missing."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        raise FileNotFoundError(f"data file not found at {path}")
+def _csv(spark: SparkSession, path: str, reader) -> DataFrame:
+    """A CSV file, folder or glob; a missing path is named in a FileNotFoundError."""
+    try:
+        return reader.options(**CSV).option("multiLine", True).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"data file not found at {path}") from e
+        raise

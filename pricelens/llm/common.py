@@ -69,6 +69,12 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
     return df.mapInArrow(run, schema)
 
 
+def map_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``mapInArrow`` that keeps all columns, whatever their names; ``fn`` finds them by place."""
+    flat = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return flat.mapInArrow(fn, flat.schema).toDF(*df.columns)
+
+
 class WordIds(dict):
     """Text chunk → its token ids as little-endian unsigned 32-bit bytes.
 

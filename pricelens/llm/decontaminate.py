@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_slices, pick, row_slices, written
+from .common import map_rows, map_slices, pick, row_slices, written
 
 #: The bytes of the word class: 0-9, a-z and every byte of a non-ASCII character (A-Z are lower-cased before).
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -160,5 +160,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, block:
                 clean = [not match(words_of(t), shared.value)[0] for t in b.column(at).to_pylist()]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
-        kept = kept.mapInArrow(run, docs.schema)
+        kept = map_rows(kept, run)
     return kept

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_slices, pick, row_slices
+from .common import map_rows, map_slices, pick, row_slices, written
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 4
@@ -125,8 +125,6 @@ def train(labelled: DataFrame, sample_rows: int = 20_000, most_words: int = 60_0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), arrow.types)], schema=arrow)
 
-    from .common import written
-
     counts = written(rows.mapInArrow(count, "lang string, size int, term string, n long")
                      .groupBy("lang", "size", "term").agg(F.sum("n").alias("n")))
     totals = {r["lang"]: r["n"] for r in counts.where("size = 0").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
@@ -180,4 +178,4 @@ def keep_known(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> Dat
             found = [scorer.predict(t) for t in b.column(at).to_pylist()]
             yield b.filter(pa.array([x != "und" and s >= least for x, s in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

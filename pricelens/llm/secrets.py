@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from re import _constants as op
 from re import _parser as regex_parser
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_slices, pick, row_slices
+from .common import map_rows, map_slices, pick, row_slices
 
 #: Kind, pattern, group whose length counts, least length.  The first three are the base rules.
 RULES = [
@@ -176,7 +175,7 @@ def mask_secrets(docs: DataFrame, rules=RULES, mask: str = "[secret]") -> DataFr
     Overlapping spans are masked as one.  All columns keep their place and type.
     """
     at, n_at = docs.columns.index("text"), docs.columns.index("n_chars")
-    schema, state = docs.schema, {}
+    state = {}
 
     def clean(text: str, spans) -> str:
         out, end = [], 0
@@ -198,4 +197,4 @@ def mask_secrets(docs: DataFrame, rules=RULES, mask: str = "[secret]") -> DataFr
             columns[at], columns[n_at] = pa.array(texts, b.schema.field(at).type), pa.array(sizes, b.schema.field(n_at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return docs.mapInArrow(run, schema)
+    return map_rows(docs, run)

@@ -24,7 +24,7 @@ LONGEST = 4
 
 
 def words_of(text: str | None) -> list[str]:
-    return [w for w in WORD.findall(text.lower()) if any(map(str.isalpha, w))] if text else []
+    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))] if text else []
 
 
 def ngrams(word: str, n: int) -> list[str]:
@@ -49,14 +49,14 @@ class LanguageModel:
         for n in range(LONGEST, 0, -1):
             found = [self.grams[g] for g in ngrams(word, n) if g in self.grams]
             if found:
-                return np.mean(found, axis=0)
+                return np.array([sum(x) / len(found) for x in zip(*found)])
         return np.zeros(len(self.langs))
 
 
 class Scorer:
     """Predicts whole texts; each distinct word's scores are kept, at most ``limit`` of them."""
 
-    def __init__(self, model: LanguageModel, limit: int = 100_000):
+    def __init__(self, model: LanguageModel, limit: int = 400_000):
         self.model, self.limit, self.row = model, limit, {}
         self.scores = np.zeros((limit, max(1, len(model.langs))))
 

@@ -76,25 +76,25 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 
 class WordIds(dict):
-    """Text chunk → its token ids as little-endian unsigned 32-bit bytes.
+    """Key → its token ids as little-endian unsigned 32-bit bytes, made by ``ids_of`` where not known.
 
-    A memory of two generations of at most ``limit`` chunks each: what was
+    A memory of two generations of at most ``limit`` keys each: what was
     used lately stays, and the size is bounded however many words there are.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], limit: int = 350_000):
+    def __init__(self, ids_of: Callable[[str], bytes], limit: int = 350_000):
         super().__init__()
-        self.encode, self.limit, self.old = encode, limit, {}
+        self.ids_of, self.limit, self.old = ids_of, limit, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
         if ids is None:
-            ids = array.array("I", self.encode(chunk)).tobytes()
-        if len(chunk) <= 64:
+            ids = self.ids_of(key)
+        if len(key) <= 64:
             if len(self) >= self.limit:
                 self.old = dict(self)
                 self.clear()
-            self[chunk] = ids
+            self[key] = ids
         return ids
 
 
@@ -107,6 +107,8 @@ _ENCODERS: dict[tuple, Callable[[str], bytes]] = {}
 
 #: A run of letters, after a line break or space or not, and ASCII marks after it: what most chunks are.
 PLAIN = re.compile(r"(\n?)( ?)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+#: The ASCII marks of the pattern above.
+MARKS = "".join(chr(i) for i in range(33, 127) if chr(i) != "'" and not chr(i).isalnum())
 #: Letters below this stay as they are under NFC.
 LATIN_END = "\u0250"
 
@@ -131,6 +133,8 @@ def _chunk_encoder(tok) -> Callable[[str], list[int]]:
     space, line = (alphabet[ord(x)] for x in " \n")
 
     def encode(chunk: str) -> list[int]:
+        if byte_level and chunk[0] == " " and chunk.isascii() and chunk[1:].isalpha():
+            return [t.id for t in model.tokenize(chunk[1:].lower() if lower else space + chunk[1:])]
         plain = PLAIN.fullmatch(chunk) if byte_level else None
         if not plain:
             return tok.encode(chunk, add_special_tokens=False).ids
@@ -149,12 +153,19 @@ def _chunk_encoder(tok) -> Callable[[str], list[int]]:
     return encode
 
 
+def packed(ids: list[int]) -> bytes:
+    return array.array("I", ids).tobytes()
+
+
 def text_encoder(path: str) -> Callable[[str], bytes]:
     """Whole text → ids (little-endian unsigned 32-bit), by the tokenizer file at ``path``.
 
     The pre-tokenizers of both families never join a non-space character with
     a space after it, so the ids of a text are those of its chunks in order;
-    each chunk is encoded by the library once and remembered.  Texts with
+    each chunk is encoded by the library once and remembered.  Where all words
+    are parted by one space or line break, the chunks are the pieces between
+    spaces: a piece stands for itself after a space, or, if it begins with a
+    line break, for itself.  Other texts are cut by a pattern, and those with
     other white space are encoded whole.  Strings of special tokens in a text
     are ordinary text.  One encoder lives in each Python worker.
     """
@@ -166,12 +177,26 @@ def text_encoder(path: str) -> Callable[[str], bytes]:
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
-        words = WordIds(_chunk_encoder(tok))
+        chunk_ids, byte_level = _chunk_encoder(tok), "ByteLevel" in str(tok.pre_tokenizer)
+        marks = WordIds(lambda m: packed([t.id for t in tok.model.tokenize(m)]), 10_000)
+
+        def piece_ids(piece: str) -> bytes:
+            word = piece.rstrip(MARKS)
+            if len(word) < len(piece) and word.isascii() and word.isalpha() and byte_level:
+                return pieces[word] + marks[piece[len(word):]]
+            return packed(chunk_ids(piece if piece[0] == "\n" else " " + piece))
+
+        pieces = WordIds(piece_ids)
+        chunks = WordIds(lambda chunk: packed(chunk_ids(chunk)))
 
         def encode(text: str) -> bytes:
+            flat = text.replace("\n", " ")
+            if flat.split() == flat.split(" "):
+                first, *rest = text.replace("\n", " \n").split(" ")
+                return packed(chunk_ids(first)) + b"".join(map(pieces.__getitem__, rest))
             if OTHER_SPACE.search(text):
-                return array.array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
-            return b"".join(map(words.__getitem__, SPACED.findall(text)))
+                return packed(tok.encode(text, add_special_tokens=False).ids)
+            return b"".join(map(chunks.__getitem__, SPACED.findall(text)))
 
         _ENCODERS[path] = encode
     return _ENCODERS[path]

@@ -107,8 +107,12 @@ def crc(ids):
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_encoder_equals_the_library(name):
+    import random
+    draw = random.Random(5)
+    parts = ["word", "The", "Straße", "don't", "x_y", "3.5", "!!", "...", "\n", "\n\n", " ", "\t", "_", "(", "日本", "e\u0301", "</s>", "A.", "end.'", "#!", "ﬁ", ".\n"]
+    mixed = ["".join(draw.choice(parts) + draw.choice(["", " ", " ", "\n"]) for _ in range(draw.randint(0, 25))) for _ in range(500)]
     odd = ["don't", "a  b\n\n c \n", "x\ty\x1cz\x85", "İstanbul ΑΣ ſ ǅ", "<|endoftext|> a", "🙂 中文", "w.%%% e_f!! 4,5", "\nA, b"]
-    for text in odd:
+    for text in odd + mixed:
         assert text_encoder(tokenizer_path(name))(text) == array.array("I", library_ids(name, text, 0)[:-1]).tobytes()
 
 

@@ -52,6 +52,8 @@ METRICS_TABLE_SCHEMA = T.StructType([
     T.StructField("val_rmse", T.DoubleType()),
 ])
 
+IMPORTANCE_SCHEMA = "idx int, feature_name string, importance double"
+
 
 def family_of(name: str):
     if name not in ESTIMATORS:
@@ -204,4 +206,4 @@ def feature_importance(spark: SparkSession, model, names: list[str]) -> DataFram
         return None
     imp = model.featureImportances.toArray().tolist()
     rows = [(i, names[i] if i < len(names) else str(i), float(v)) for i, v in enumerate(imp)]
-    return spark.createDataFrame(rows, "idx int, feature_name string, importance double")
+    return spark.createDataFrame(rows, IMPORTANCE_SCHEMA)

@@ -54,6 +54,8 @@ PARAM_GRIDS = {
     "Gradient Boosting": {"maxDepth": [3, 5, 7], "maxIter": [10, 20, 30]},
 }
 CV_FOLDS = 3
+# Decimals of a displayed price.
+PRICE_DECIMALS = 2
 RF_TREES = 50
 GBT_ROUNDS = 10
 SEED = 42

@@ -129,6 +129,22 @@ def test_selection_on_a_validation_slice(spark):
     assert comp.best_name == min(rows.values(), key=lambda r: (r.val_rmse, r.model_order)).model
 
 
+def test_a_linear_run_leaves_no_older_importances(spark):
+    out = os.path.join(ensure_checkpoint_dir(spark), "test-artifacts", uuid.uuid4().hex)
+    rows = clean(spark, SF_SMALL)
+    train(rows, out, families=["Gradient Boosting"], tune=False, save_clean=False)
+    assert spark.read.parquet(f"{out}/feature_importance").count() > 0
+    train(rows, out, families=["Linear Regression"], tune=False, save_clean=False)
+    assert spark.read.parquet(f"{out}/feature_importance").count() == 0
+
+
+def test_a_base_model_chosen_on_a_slice_is_fitted_again_on_all_training_rows(spark):
+    rows = clean(spark, SF_SMALL)
+    by_slice = train(rows, None, families=["Linear Regression"], tune=False, select_on="validation")
+    whole = train(rows, None, families=["Linear Regression"], tune=False)
+    assert by_slice.final_metrics["rmse"] == pytest.approx(whole.final_metrics["rmse"], rel=1e-9)
+
+
 def test_streaming_scorer_matches_batch_scoring(spark, trained):
     """Requests dropped as files are scored by the stream exactly like the batch job."""
     from pricelens.streaming.score_stream import REQUEST_FILE_SCHEMA, score_stream

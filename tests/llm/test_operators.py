@@ -96,7 +96,9 @@ def test_swapped_replies_against_brute_force(spark):
 
 def library_ids(name, text, end):
     from tokenizers import Tokenizer
-    tok = library_ids.__dict__.setdefault(name, Tokenizer.from_file(tokenizer_path(name)))
+    if name not in library_ids.__dict__:
+        library_ids.__dict__[name] = Tokenizer.from_file(tokenizer_path(name))
+    tok = library_ids.__dict__[name]
     tok.encode_special_tokens = True
     return [*tok.encode(text or "", add_special_tokens=False).ids, end]
 

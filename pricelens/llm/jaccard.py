@@ -8,8 +8,10 @@ size are one group, and only groups meet: by a shared prefix token, within the
 bounds on size and position.  Group pairs are then expanded to their classes
 and these verified on the whole sets.
 
-Links are needed only as far as they join components, so pairs are made in two
-steps.  First, along each token's list of groups, every group meets its
+The whole join (``similar_classes``) verifies every pair of classes that groups
+or prefixes bring together.  Where components alone are asked for, as when one
+of each is kept (``linked_classes``), links are needed only as far as they join
+components, and pairs are made in two steps.  First, along each token's list of groups, every group meets its
 neighbour and the list's head, a linear number of pairs; the links found give
 components.  Then all remaining pairs of a list that lie in different
 components are verified as well, so that no link between components is missed.
@@ -31,6 +33,8 @@ from .common import pick, row_slices, written
 BUCKETS = 1 << 17
 #: Bits of the filter that says which classes take part in a pair.
 FILTER_BITS = 1 << 24
+#: Longer lists of groups are dealt over several keys.
+LIST = 256
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -274,14 +278,8 @@ def _lists_across(of_group: DataFrame, shared: DataFrame, joined: DataFrame) ->
     return placed, written(lists.join(several, "token", "left_semi"))
 
 
-def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, n, class per row; links: node, root of the classes that are linked).
-
-    ``bridges`` is how often, between the two steps, a few pairs of any two
-    components that are neighbours in a list are tried, so that components of
-    one large group of copies join before all their pairs are looked at; it
-    changes the work, not the result.
-    """
+def _classed(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows: doc_id, key, text; members: doc_id, n, class per row; keys: class, key; classes as of ``_prefixes``)."""
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
     survey = written(_survey(rows, size))
     members = survey.where("bucket is null").select("doc_id", "n", "class")
@@ -290,7 +288,49 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: i
     found = survey.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts[found["bucket"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
 
-    classes = written(_prefixes(rows, size, percent, counts))
+    return rows, members, keys, written(_prefixes(rows, size, percent, counts))
+
+
+def similar_classes(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """The whole join: (members: doc_id, n, class per row; pairs: every two classes a < b that are linked, once).
+
+    A link of two rows is their classes' pair, or their common class; copies
+    are not paired.  Lists of more than LIST groups are dealt over several
+    keys, each of which meets the whole list.
+    """
+    rows, members, keys, classes = _classed(docs, size, percent)
+    of_group = written(classes.select("group", "class").distinct())
+    prefix = written(classes.select("group", "n", "tokens").dropDuplicates(["group"]))
+    release(classes)
+    lists = prefix.select("group", "n", F.posexplode("tokens").alias("pos", "token"))
+    parts = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token", F.ceil(F.col("m") / F.lit(LIST)).cast("int").alias("parts"))
+    lists = written(lists.join(parts, "token"))
+    left, right = (lists.select("token", "parts", *[F.col(c).alias(x + c) for c in ("pos", "n", "group")]) for x in "lr")
+    left = left.withColumn("part", F.pmod(F.hash("lgroup"), F.col("parts"))).drop("parts")
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    met = written(left.join(right, ["token", "part"]).where("lgroup < rgroup").where(_sizes_fit("l", "r", percent) & _first_fits("l", "r", percent))
+                  .select("lgroup", "ln", "rgroup", "rn").distinct())
+    release(lists)
+    tokens = prefix.select("group", "tokens")
+    close = met.join(tokens.toDF("lgroup", "ltokens"), "lgroup").join(tokens.toDF("rgroup", "rtokens"), "rgroup") \
+        .where(_enough_shared(F.size(F.array_intersect("ltokens", "rtokens")), "l", "r", percent)).select("lgroup", "rgroup")
+    a, b = of_group.toDF("lgroup", "a"), of_group.toDF("rgroup", "b")
+    inside = a.join(b, F.col("lgroup") == F.col("rgroup")).where("a < b").select("a", "b")
+    pairs = _verified(rows, keys, size, percent, close.join(a, "lgroup").join(b, "rgroup").select("a", "b").union(inside))
+    for done in (met, prefix, of_group):
+        release(done)
+    return members, pairs
+
+
+def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(members: doc_id, n, class per row; links: node, root of the classes that are linked).
+
+    ``bridges`` is how often, between the two steps, a few pairs of any two
+    components that are neighbours in a list are tried, so that components of
+    one large group of copies join before all their pairs are looked at; it
+    changes the work, not the result.
+    """
+    rows, members, keys, classes = _classed(docs, size, percent)
     of_group = written(classes.select("group", "class").distinct())
     # A frequent token's list is dealt over 32 lists; their groups meet in the second step.
     tokens = classes.select("group", "n", "light", F.posexplode("tokens").alias("pos", "token")) \
@@ -367,13 +407,34 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     Repeated rows are in one component and returned each.
     """
     members, links = linked_classes(docs, size, percent)
+    return _named(members, links).drop("class")
+
+
+def _named(members: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and class of every member, by the (node, root) of linked classes."""
     classes = members.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id")) \
         .join(links, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = written(classes.join(least, "root").select("class", "component_id"))
     out = members.join(named, "class", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+                      F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "class")
+
+
+def link_counts(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links for every row of ``docs``, from all links of the join.
+
+    n_links is the number of other rows that the row is linked with: those of
+    its own class and of every class paired with it.  component_id is that of
+    ``near_duplicates``, here derived from the same links.
+    """
+    members, pairs = similar_classes(docs, size, percent)
+    sizes = written(members.where("class is not null").groupBy("class").agg(F.count("*").alias("m")))
+    across = pairs.select("a", "b").union(pairs.select("b", "a")).join(sizes.toDF("b", "m"), "b") \
+        .groupBy(F.col("a").alias("class")).agg(F.sum("m").alias("others"))
+    counts = sizes.join(across, "class", "left").select("class", (F.col("m") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return _named(members, components(pairs.toDF("u", "v"))).join(counts, "class", "left") \
+        .select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:

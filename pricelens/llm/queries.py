@@ -50,7 +50,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard.link_counts(table(spark, sf_dir, "documents")).drop("n_links")
+
+
+def op9_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_counts(table(spark, sf_dir, "documents"))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +62,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_nearest, op2_preferences, op3_packing, op4_language, op5_main_text, op6_urls, op7_contamination,
-                                   op8_token_files, op9_jaccard_join, op10_secrets)}
+                                   op8_token_files, op9_jaccard_join, op9_jaccard_links, op10_secrets)}
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
 _TOKENS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+'), [])"
@@ -88,4 +92,15 @@ links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.g =
 reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
 FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON sets.doc_id = c.a""",
+    "op9_jaccard_links": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+  list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM d),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.g = b.g AND a.doc_id <> b.doc_id
+ GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id, CAST(coalesce(l.n, 0) AS BIGINT) AS n_links
+FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON sets.doc_id = c.a
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON sets.doc_id = l.a""",
 }

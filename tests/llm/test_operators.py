@@ -323,6 +323,33 @@ def test_near_duplicates(spark, docs, bridges, monkeypatch):
         assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_every_link_is_found(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST", 8)
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in rng.integers(0, 400, 60)]
+    copies = []
+    for i in range(40):
+        w = list(base)
+        for k in rng.integers(0, 60, rng.integers(0, 4)):
+            w[k] = f"n{i}x{k}"
+        copies += [(5000 + i, " ".join(w))] * (1 + i % 2)
+    more = [*copies, *docs[:60], (7000, ""), (7001, None), (7003, "Two words"), (7004, "two WORDS")]
+    sets = []
+    for _, text in more:
+        w = (text or "").lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    linked = lambda a, b: bool(a & b) and 100 * len(a & b) >= 75 * len(a | b)
+    want = [(doc, len(sets[i]), c, sum(linked(sets[i], s) for j, s in enumerate(sets) if j != i)) for i, (doc, _) in enumerate(more)
+            for c in [dict((d, c) for d, _, c in brute_components(more))[doc]]]
+    df = spark.createDataFrame(more, "doc_id long, text string")
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in rows(jaccard.link_counts(df))]
+    assert sorted(got) == sorted(want) and sum(x[3] for x in want) > 500
+    _, pairs = jaccard.similar_classes(df)
+    distinct = list({frozenset(s) for s in sets if s})
+    assert pairs.count() == pairs.distinct().count() == sum(linked(a, b) for k, a in enumerate(distinct) for b in distinct[:k])
+    assert jaccard.link_counts(df.limit(0)).count() == 0
+
+
 def test_secrets_against_plain_regexes(spark, docs, edge):
     more = [*docs, *[(d if d is not None else -1, t) for d, t, _ in EDGE]]
     df = spark.createDataFrame([(*x, "") for x in more], "doc_id long, text string, spans string")

@@ -220,6 +220,17 @@ def test_main_text(spark):
     assert wrappers.extract(df.limit(0)).count() == 0
 
 
+def test_unread_elements_end_where_they_end():
+    text = lambda body: wrappers.main_text(f"<body><article><p>one</p>{body}<p>two</p></article><p>out</p></body>", None)
+    for body in ('<svg width="1"/>', "<object/>", "<iframe src='x' />", "<button>", "<select>", "<script src='x'/>", "<svg><title>t</title><path d='m'/></svg>",
+                 "<button><div>Go</div></button>", "<template><p>no</p><button>x</button></template>", "<script>var a = '<p>no</p>'</script>", "<svg><g><style/></g></svg>",
+                 "<SELECT><option>a<option>b</SELECT>", "<noscript><p>no</noscript>"):
+        assert text(body) == "one\ntwo", body
+    assert text("<video-player><p>in</p></video-player>") == "one\nin\ntwo"
+    assert text("<button-group><audio-x>in</audio-x></button-group>") == "one\nin\ntwo"
+    assert wrappers.main_text("<article><div><button>Go</div><p>two</p></article><button>x</button>", None) == "two"
+
+
 def test_url_rules(spark):
     cases = [("http://Example.ORG/es/1", "example.org", "/es/1", "example.org/es/"), ("https://a.example.org/en/12?q", "a.example.org", "/en/12", "example.org/en/1"),
              ("http://x.org/fr/", "x.org", "/fr/", "org/"), ("http://a.com/fr/x#t", "a.com", "/fr/x", "com/fr/"), ("http://notcom/fr/", "notcom", "/fr/", None),

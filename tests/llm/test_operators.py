@@ -231,6 +231,16 @@ def test_unread_elements_end_where_they_end():
     assert wrappers.main_text("<article><div><button>Go</div><p>two</p></article><button>x</button>", None) == "two"
 
 
+def test_main_is_decided_for_each_page():
+    marked = lambda i: f"<body><h1>Head {i}</h1><article><p>in {i}</p></article><footer>f</footer></body>"
+    plain = lambda i: f"<body><h1>Head {i}</h1><section><p>story {i}</p></section><footer>f</footer></body>"
+    wrapper = wrappers.infer([marked(1), plain(2), marked(3), plain(4)])
+    for page, text in ((marked(5), "in 5"), (plain(6), "Head 6\nstory 6")):
+        labels, _, _ = wrappers.page_tokens(page)
+        assert wrappers.match(wrapper, labels, 0, []) == len(labels)
+        assert wrappers.main_text(page, wrapper) == text == wrappers.main_text(page, None)
+
+
 def test_url_rules(spark):
     cases = [("http://Example.ORG/es/1", "example.org", "/es/1", "example.org/es/"), ("https://a.example.org/en/12?q", "a.example.org", "/en/12", "example.org/en/1"),
              ("http://x.org/fr/", "x.org", "/fr/", "org/"), ("http://a.com/fr/x#t", "a.com", "/fr/x", "com/fr/"), ("http://notcom/fr/", "notcom", "/fr/", None),

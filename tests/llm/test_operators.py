@@ -241,6 +241,20 @@ def test_main_is_decided_for_each_page():
         assert wrappers.main_text(page, wrapper) == text == wrappers.main_text(page, None)
 
 
+def test_template_is_what_all_pages_share(spark):
+    page = lambda i, tail="": f"<body><h2>Notice</h2><p>{'same start ' * 30}{i}</p>{tail}</body>"
+    own = lambda i: f"{'same start ' * 30}{i}"
+    same = "<body><p>only block</p></body>"
+    data = [(i, "http://copies/a", same) for i in range(6)] + [(70 + i, "http://marked/a", same + f"<!-- {i} -->") for i in range(6)] + [(10 + i, "http://many/a", page(i)) for i in range(12)]
+    data += [(30 + i, "http://late/a", f"<body><h2>{'new' if i == 11 else 'Notice'}</h2><p>{i}</p></body>") for i in range(12)] + [(50, "http://late/b", None)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string")
+    for sample in (3, 8):
+        got = {r["page_id"]: r["text"] for r in rows(wrappers.extract(df, sample=sample))}
+        assert [got[i] for i in range(6)] == [got[70 + i] for i in range(6)] == ["only block"] * 6
+        assert [got[10 + i] for i in range(12)] == [own(i) for i in range(12)]
+        assert [got[30 + i] for i in range(12)] == [f"{'new' if i == 11 else 'Notice'}\n{i}" for i in range(12)] and got[50] == ""
+
+
 def test_url_rules(spark):
     cases = [("http://Example.ORG/es/1", "example.org", "/es/1", "example.org/es/"), ("https://a.example.org/en/12?q", "a.example.org", "/en/12", "example.org/en/1"),
              ("http://x.org/fr/", "x.org", "/fr/", "org/"), ("http://a.com/fr/x#t", "a.com", "/fr/x", "com/fr/"), ("http://notcom/fr/", "notcom", "/fr/", None),

@@ -157,7 +157,7 @@ def packed(ids: list[int]) -> bytes:
     return array.array("I", ids).tobytes()
 
 
-def text_encoder(path: str) -> Callable[[str], bytes]:
+def text_encoder(path: str, special_as_text: bool = True) -> Callable[[str], bytes]:
     """Whole text → ids (little-endian unsigned 32-bit), by the tokenizer file at ``path``.
 
     The pre-tokenizers of both families never join a non-space character with
@@ -167,16 +167,22 @@ def text_encoder(path: str) -> Callable[[str], bytes]:
     spaces: a piece stands for itself after a space, or, if it begins with a
     line break, for itself.  Other texts are cut by a pattern, and those with
     other white space are encoded whole.  Strings of special tokens in a text
-    are ordinary text.  One encoder lives in each Python worker.
+    are ordinary text, or, without ``special_as_text``, what the library makes
+    of them with ``add_special_tokens=False`` alone: texts that hold one are
+    encoded whole.  One encoder of each kind lives in each Python worker.
     """
-    if path not in _ENCODERS:
+    kind = path, special_as_text
+    if kind not in _ENCODERS:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
+        tok.encode_special_tokens = special_as_text
+        added = tok.get_added_tokens_decoder().values()
+        named = [] if special_as_text else [t.content for t in added]
+        all_whole = not special_as_text and any(t.normalized for t in added)
         chunk_ids, byte_level = _chunk_encoder(tok), "ByteLevel" in str(tok.pre_tokenizer)
         marks = WordIds(lambda m: packed([t.id for t in tok.model.tokenize(m)]), 10_000)
 
@@ -190,6 +196,8 @@ def text_encoder(path: str) -> Callable[[str], bytes]:
         chunks = WordIds(lambda chunk: packed(chunk_ids(chunk)))
 
         def encode(text: str) -> bytes:
+            if all_whole or any(x in text for x in named):
+                return packed(tok.encode(text, add_special_tokens=False).ids)
             flat = text.replace("\n", " ")
             if flat.split() == flat.split(" "):
                 first, *rest = text.replace("\n", " \n").split(" ")
@@ -198,8 +206,8 @@ def text_encoder(path: str) -> Callable[[str], bytes]:
                 return packed(tok.encode(text, add_special_tokens=False).ids)
             return b"".join(map(chunks.__getitem__, SPACED.findall(text)))
 
-        _ENCODERS[path] = encode
-    return _ENCODERS[path]
+        _ENCODERS[kind] = encode
+    return _ENCODERS[kind]
 
 
 def tokenizer_path(name: str) -> str:

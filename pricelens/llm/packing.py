@@ -126,7 +126,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
                        ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches):
-        encode, first = text_encoder(tokenizer), TaskContext.get().partitionId() << 40
+        encode, first = text_encoder(tokenizer, special_as_text=False), TaskContext.get().partitionId() << 40
 
         def pieces():
             for b in row_slices(batches):

@@ -86,7 +86,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id
     placed = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def run(batches):
-        encode, part, before = text_encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encode, part, before = text_encoder(tokenizer, special_as_text=False), TaskContext.get().partitionId(), 0
         doc_ids, chunks, held = [], [], 0
 
         def block():

@@ -141,6 +141,24 @@ def test_packing(spark, docs, edge):
     assert packing.pack_documents(edge.limit(0), tokenizer_path("word_bpe_49k.json")).count() == 0
 
 
+def test_special_strings_are_as_by_the_plain_library_call(spark, tmp_path):
+    from tokenizers import Tokenizer
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y\nThe end.<|endoftext|><|endoftext|>  z", "<|ENDOFTEXT|> c", "<|endof text|>", "plain words here"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = {n: Tokenizer.from_file(tokenizer_path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+    ids = lambda name, text, end: [*plain[name].encode(text, add_special_tokens=False).ids, end]
+    assert 50256 in ids("byte_bpe_50k.json", texts[0], 2) and len(ids("byte_bpe_50k.json", texts[0], 2)) == 5
+    token_files.write_tokens(df, f"{tmp_path}/a", tokenizer_path("byte_bpe_50k.json"))
+    got, at = {r["doc_id"]: r for r in rows(token_files.read_tokens(spark, f"{tmp_path}/a"))}, 0
+    for doc, text in enumerate(texts):
+        want = ids("byte_bpe_50k.json", text, 2)
+        assert (got[doc]["start"], got[doc]["n_tokens"], got[doc]["ids_crc32"]) == (at, len(want), crc(want))
+        at += len(want)
+    for r in rows(packing.pack_documents(df, tokenizer_path("word_bpe_49k.json"))):
+        want = ids("word_bpe_49k.json", texts[r["doc_id"]], 1)
+        assert (r["doc_tokens"], r["ids_crc32"]) == (len(want), crc(want[r["start"]:r["start"] + r["length"]]))
+
+
 def test_sum_of_squares_places_like_brute_force():
     rng, size = np.random.default_rng(5), 32
     fast, level = packing.SumOfSquares(size), [0] * (size + 1)

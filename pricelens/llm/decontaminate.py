@@ -28,15 +28,15 @@ def windows_of(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))]
 
 
-def item_windows(items: DataFrame, size: int) -> DataFrame:
-    """Distinct (win, item_id); rows with a null id or text, or without words, have none."""
+def item_windows(items: DataFrame, size: int, unnamed: bool = False) -> DataFrame:
+    """Distinct (win, item_id); rows with a null text, or without words, have none, nor, but for ``unnamed``, those with a null id."""
     arrow = pa.schema([("win", pa.binary()), ("item_id", pa.string())])
 
     def run(b: pa.RecordBatch) -> dict:
         pairs = [(w, i) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w in windows_of(words_of(t), size)]
         return {"win": [w for w, _ in pairs], "item_id": [i for _, i in pairs]}
 
-    rows = pick(items, "item_id", "text").dropna().select(F.col("item_id").cast("string"), "text")
+    rows = pick(items, "item_id", "text").dropna(subset=["text"] if unnamed else ["item_id", "text"]).select(F.col("item_id").cast("string"), "text")
     return map_slices(rows, run, "win binary, item_id string", arrow).distinct()
 
 
@@ -96,9 +96,9 @@ def covered(ranges: list[tuple[int, int]]) -> int:
     return total
 
 
-def index_blocks(docs: DataFrame, items: DataFrame, size: int, block: int) -> list:
+def index_blocks(docs: DataFrame, items: DataFrame, size: int, block: int, unnamed: bool = False) -> list:
     """The prefix index of all items as broadcasts of about ``block`` (window, item) pairs each; at least one."""
-    pairs = written(item_windows(items, size))
+    pairs = written(item_windows(items, size, unnamed))
     blocks = max(1, -(-pairs.count() // block))
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("win"), F.lit(blocks)))
     out = []
@@ -152,9 +152,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, block: int
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, block: int = 200_000) -> DataFrame:
-    """``docs`` without the rows in which an item window occurs; columns unchanged, clean rows untouched."""
+    """``docs`` without the rows in which an item window occurs; columns unchanged, clean rows untouched.
+
+    Which item it is doesn't matter here: those with a null id count as well.
+    """
     at, kept = docs.columns.index("text"), docs
-    for shared in index_blocks(docs, items, size, block):
+    for shared in index_blocks(docs, items, size, block, unnamed=True):
         def run(batches, shared=shared):
             for b in row_slices(batches):
                 clean = [not match(words_of(t), shared.value)[0] for t in b.column(at).to_pylist()]

@@ -327,6 +327,13 @@ def test_contamination(spark, docs, block):
     assert decontaminate.contamination(d.limit(0), b).count() == 0
 
 
+@pytest.mark.parametrize("block", [200_000, 2])
+def test_items_without_id_are_dropped_too(spark, block):
+    d = spark.createDataFrame([(1, "x one two three y"), (2, "four five"), (3, "none"), (4, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(None, "One two, three"), (None, None), (7, "four five"), (8, "other words")], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in rows(decontaminate.drop_contaminated(d, b, block=block))) == [3, 4]
+
+
 def brute_components(docs, size=5, percent=75):
     sets = []
     for _, text in docs:

@@ -90,11 +90,23 @@ class WordIds(dict):
         ids = self.old.get(key)
         if ids is None:
             ids = self.ids_of(key)
+        self.keep(key, ids)
+        return ids
+
+    def keep(self, key: str, ids: bytes) -> None:
         if len(key) <= 64:
             if len(self) >= self.limit:
                 self.old = dict(self)
                 self.clear()
             self[key] = ids
+
+    def known(self, key: str) -> bytes | None:
+        """Its ids if they are remembered."""
+        ids = self.get(key)
+        if ids is None:
+            ids = self.old.get(key)
+            if ids is not None:
+                self.keep(key, ids)
         return ids
 
 

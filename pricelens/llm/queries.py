@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.session import ensure_checkpoint_dir
 
-from . import ann, chat, decontaminate, jaccard, language, packing, secrets, token_files, urls, wrappers
+from . import ann, bins, chat, decontaminate, jaccard, language, packing, secrets, token_files, urls, wrappers
 from .common import table, tokenizer_path
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -61,8 +61,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bins.pack_digest(bins.pack_whole(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE)))
+
+
 QUERIES = {f.__name__: f for f in (op1_nearest, op2_preferences, op3_packing, op4_language, op5_main_text, op6_urls, op7_contamination,
-                                   op8_token_files, op9_jaccard_join, op9_jaccard_links, op10_secrets)}
+                                   op8_token_files, op9_jaccard_join, op9_jaccard_links, op10_secrets, op13_best_fit)}
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
 _TOKENS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+'), [])"

@@ -40,6 +40,23 @@ def written(df: DataFrame) -> DataFrame:
         conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
 
 
+def skew_join(big: DataFrame, one: DataFrame, keys: list[str], share: int = 1_000) -> DataFrame:
+    """Left join with ``one``, which has one row a key, where a key may hold any part of ``big``'s rows.
+
+    Keys that hold more than 1/``share`` of the rows, fewer than ``share`` of
+    them however large the table, are joined by a broadcast of their few rows
+    of ``one``; all others by a shuffle.  ``big`` is read three times, so it should be
+    a written table.
+    """
+    total = big.count()
+    hot = big.groupBy(*keys).count().where(F.col("count") * share > total).select(*keys).collect() if total else []
+    if not hot:
+        return big.join(one, keys, "left")
+    hot = F.broadcast(big.sparkSession.createDataFrame(hot, big.select(*keys).schema))
+    few = F.broadcast(one.join(hot, keys, "left_semi"))
+    return big.join(hot, keys, "left_anti").join(one, keys, "left").unionByName(big.join(hot, keys, "left_semi").join(few, keys, "left"))
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Exactly these columns; the first of several that share a name."""
     at = df.columns

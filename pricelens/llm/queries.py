@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.session import ensure_checkpoint_dir
 
-from . import ann, bins, chat, decontaminate, jaccard, language, packing, secrets, token_files, urls, wrappers
+from . import ann, bins, chat, decontaminate, jaccard, language, packing, secrets, token_files, tries, urls, wrappers
 from .common import table, tokenizer_path
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -61,12 +61,16 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.trie_digest(tries.build_trie(table(spark, sf_dir, "conversations"), tries.fifth_heads))
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bins.pack_digest(bins.pack_whole(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE)))
 
 
 QUERIES = {f.__name__: f for f in (op1_nearest, op2_preferences, op3_packing, op4_language, op5_main_text, op6_urls, op7_contamination,
-                                   op8_token_files, op9_jaccard_join, op9_jaccard_links, op10_secrets, op13_best_fit)}
+                                   op8_token_files, op9_jaccard_join, op9_jaccard_links, op10_secrets, op12_prefix_trie, op13_best_fit)}
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
 _TOKENS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+'), [])"
@@ -96,6 +100,25 @@ links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.g =
 reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
 FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON sets.doc_id = c.a""",
+    "op12_prefix_trie": """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, sha256(concat(sha256(role), sha256(text)))) AS turns FROM t GROUP BY conv_id),
+heads AS (SELECT conv_id, turns, conv_id - conv_id % 5 AS base, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+  flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+  lambda a, e: xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384)), CAST(4294967295 AS BIGINT)) % 9 AS h FROM own),
+rebuilt AS (SELECT heads.conv_id, list_concat(coalesce(b.turns[1:h], []), heads.turns[h + 1:]) AS seq FROM heads LEFT JOIN own b ON heads.base = b.conv_id),
+paths AS (SELECT conv_id, d, len(seq) = d AS is_end, seq[1:d] AS pre FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT d, pre, min(conv_id) AS conv_id, count(*) AS n_convs,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_end), '') AS ends FROM paths GROUP BY d, pre),
+kids AS (SELECT d - 1 AS d, pre[1:d - 1] AS pre, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+own_sums AS (SELECT n.d, n.pre, coalesce(k.n, 0) = 0 AS leaf, CASE WHEN n.d = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(n.pre[n.d].t)) END AS saved
+ FROM nodes n LEFT JOIN kids k ON n.d = k.d AND n.pre = k.pre),
+up AS (SELECT a AS d, pre[1:a] AS pre, sum(CAST(leaf AS BIGINT)) AS n_leaves, sum(saved) AS saved
+ FROM (SELECT pre, leaf, saved, unnest(range(0, d + 1)) AS a FROM own_sums) GROUP BY 1, 2)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children,
+ CAST(up.n_leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN up ON n.d = up.d AND n.pre = up.pre LEFT JOIN kids k ON n.d = k.d AND n.pre = k.pre
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.pre = n.pre[1:n.d - 1]""",
     "op9_jaccard_links": f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
 sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE

@@ -25,19 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(sf_path(sf_dir, name))
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, settings: dict[str, str] | None = None) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: computed once, with no lineage behind it.
 
     Nothing reads the shuffle files of a finished write again, so Spark is
     told to remove them with it instead of at some later garbage collection.
+    ``settings`` hold for this write alone.
     """
     conf = df.sparkSession.conf
-    before = conf.get(SHUFFLE_CLEANUP, None)
-    conf.set(SHUFFLE_CLEANUP, "true")
+    own = {SHUFFLE_CLEANUP: "true", **(settings or {})}
+    before = {k: conf.get(k, None) for k in own}
+    for k, v in own.items():
+        conf.set(k, v)
     try:
         return cut_lineage(df)
     finally:
-        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def skew_join(big: DataFrame, one: DataFrame, keys: list[str], share: int = 1_000) -> DataFrame:

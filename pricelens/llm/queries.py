@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.session import ensure_checkpoint_dir
 
-from . import ann, bins, chat, decontaminate, jaccard, language, packing, secrets, token_files, tries, urls, wrappers
+from . import ann, bins, chat, decontaminate, jaccard, language, packing, ranked, secrets, token_files, tries, urls, wrappers
 from .common import table, tokenizer_path
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -61,6 +61,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(ranked.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.trie_digest(tries.build_trie(table(spark, sf_dir, "conversations"), tries.fifth_heads))
 
@@ -70,9 +74,10 @@ def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_nearest, op2_preferences, op3_packing, op4_language, op5_main_text, op6_urls, op7_contamination,
-                                   op8_token_files, op9_jaccard_join, op9_jaccard_links, op10_secrets, op12_prefix_trie, op13_best_fit)}
+                                   op8_token_files, op9_jaccard_join, op9_jaccard_links, op10_secrets, op11_ranked, op12_prefix_trie, op13_best_fit)}
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
+_TERMS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), [])"
 _TOKENS = f"coalesce(regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+'), [])"
 
 ORACLES: dict[str, str] = {
@@ -100,6 +105,19 @@ links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.g =
 reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
 FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON sets.doc_id = c.a""",
+    "op11_ranked": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS b, item_id, {_TERMS} AS w FROM benchmark),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+norm AS (SELECT r, doc_id, 25 + (75 * len(w) * n_docs) // n_terms AS m FROM d, size WHERE len(w) > 0),
+asked AS (SELECT b, item_id, term, count(*) AS repeats FROM (SELECT b, item_id, unnest(w) AS term FROM b) GROUP BY b, item_id, term),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+ FROM (SELECT term, count(*) AS df FROM held GROUP BY term), size),
+scored AS (SELECT b, item_id, r, doc_id, CAST(sum(repeats * weight.w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+ FROM asked JOIN held USING (term) JOIN weight USING (term) JOIN norm USING (r) GROUP BY b, item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
     "op12_prefix_trie": """
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 own AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, sha256(concat(sha256(role), sha256(text)))) AS turns FROM t GROUP BY conv_id),

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_train
+from ..operators.dictionary import fit_features
 from ..operators.features import (FEATURES, SCALED, feature_pipeline, index_labels, profile_columns, scaler_std, split,
                                   vector_long, with_split_key)
 from ..oracles import with_listings
@@ -157,10 +158,7 @@ UNION ALL SELECT 'total', CAST(sum(slots) + {len(_WIDE_NUMS)} AS BIGINT) FROM pe
 def q_wide_feature_layout(spark, sf_dir):
     """Vector layout of the wide profile (every text column one-hot, then Year, Age, kmDriven):
     slots per column = labels seen in training (the unknown slot is the one dropped)."""
-    from ..operators.features import feature_names
     train, _ = split(materialized(spark, sf_dir, [ID, *_WIDE_CATS, *_WIDE_NUMS, "AskPrice"]))
-    model = feature_pipeline(_WIDE_CATS, _WIDE_NUMS).fit(train)
-    labels = index_labels(model)
-    width = len(feature_names(model.transform(train.limit(0)), FEATURES))
-    rows = [(c, len(labels[c])) for c in _WIDE_CATS] + [("total", width)]
-    return spark.createDataFrame(rows, "column_name string, slots bigint")
+    features = fit_features(train)
+    total = spark.createDataFrame([("total", features.width)], "column_name string, slots bigint")
+    return features.labels.groupBy("column_name").agg(F.count("*").alias("slots")).unionByName(total)

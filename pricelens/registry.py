@@ -40,4 +40,4 @@ def oracles() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills the registry.
-    from .plans import q_checked, q_clean, q_features, q_models, q_profile, q_serve  # noqa: F401
+    from .plans import q_checked, q_clean, q_features, q_models, q_profile, q_serve, q_wide  # noqa: F401

@@ -17,12 +17,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.session import release
 
 from .common import ascii_lower, pick, row_slices, written
+from .encode import byte_slices
 
 #: A term, once A-Z are lower case.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -47,22 +49,34 @@ def _byte_table() -> np.ndarray:
 BYTES = _byte_table()
 
 
-def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All terms of the texts in order, and the number of the text that each is in."""
+def _term_starts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of the texts as in a term or 0, where terms begin in them, and the number of the text of each."""
     texts = pc.fill_null(texts, "").cast(pa.string())
-    size = pc.binary_length(texts).to_numpy()
-    ends = np.cumsum(size, dtype=np.int64)
-    low = BYTES[np.frombuffer("".join(texts.to_pylist()).encode(), np.uint8)] if len(ends) and ends[-1] else np.zeros(0, np.uint8)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    data = texts.buffers()[2] if offsets[-1] else None
+    low = BYTES[np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]]] if data else np.zeros(0, np.uint8)
+    begins, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
     inside = low != 0
     first = inside.copy()
     first[1:] &= ~inside[:-1]
-    begins = (ends - size)[size > 0]
+    begins = begins[begins < ends]
     first[begins] = inside[begins]
     at = np.flatnonzero(first)
+    return low, at, np.searchsorted(ends, at, "right")
+
+
+def count_terms(texts: pa.Array) -> np.ndarray:
+    return np.bincount(_term_starts(texts)[2], minlength=len(texts)).astype(np.int64)
+
+
+def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All terms of the texts in order, and the number of the text that each is in."""
+    low, at, doc_of = _term_starts(texts)
+    inside = low != 0
     kept = np.cumsum(inside)
     offsets = np.append(kept[at] - 1, kept[-1] if len(kept) else 0).astype(np.int32)
     words = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(low[inside])))
-    return words, np.searchsorted(ends, at, "right")
+    return words, doc_of
 
 
 def index_block(m: int, doc_ids: list, texts: pa.Array) -> dict:
@@ -100,17 +114,32 @@ def build_index(docs: DataFrame, block_terms: int = 1 << 18) -> LexicalIndex:
     their own.
     """
     spark = docs.sparkSession
-    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"),
-                                               F.regexp_count("text", F.lit(TERM)).cast("long").alias("n")).where("n > 0")
-    lengths = written(rows.groupBy("n").agg(F.count("*").alias("docs")))
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    counted = pa.schema([("n", pa.int64()), ("docs", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in byte_slices(batches, 0):
+            n, docs = np.unique(count_terms(b.column(0)), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(docs.astype(np.int64))], schema=counted)
+
+    lengths = written(rows.select("text").mapInArrow(count, "n long, docs long").where("n > 0").groupBy("n").agg(F.sum("docs").alias("docs")))
     n_docs, n_terms = lengths.agg(F.sum("docs"), F.sum(F.col("docs") * F.col("n"))).first()
     if not n_docs:
         return LexicalIndex(spark.createDataFrame([], BLOCK_SQL), 0, 0)
     m = F.expr(f"25 + (75L * n * {n_docs}L) div {n_terms}L")
     strata = written(lengths.groupBy(m.alias("m")).agg(F.ceil(F.sum(F.col("docs") * F.col("n")) / block_terms).cast("long").alias("parts")))
+    weighed = pa.schema([("n", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string()), ("row", pa.int64())])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() * 7_919
+        for b in byte_slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([pa.array(count_terms(b.column(1))), b.column(0), b.column(1), pa.array(np.arange(row, row + b.num_rows))],
+                                             schema=weighed)
+            row += b.num_rows
+
+    numbered = rows.mapInArrow(weigh, "n long, doc_id long, text string, row long").where("n > 0").withColumn("m", m)
     few = strata.count() <= 100_000
-    placed = rows.withColumn("m", m).join(F.broadcast(strata) if few else strata, "m").select(
-        "m", (F.col("row") % F.col("parts")).alias("part"), "doc_id", "text")
+    placed = numbered.join(F.broadcast(strata) if few else strata, "m").select("m", (F.col("row") % F.col("parts")).alias("part"), "doc_id", "text")
 
     def block(part: pa.Table) -> pa.Table:
         part = part.combine_chunks()

@@ -21,7 +21,7 @@ def main(argv=None) -> int:
     ap.add_argument("--requests", help="request CSV to score (header, text columns)")
     ap.add_argument("--out", required=True, help="artefact folder (model, pipeline, metadata, metrics)")
     ap.add_argument("--scored", help="output folder for scored and quarantined requests")
-    ap.add_argument("--profile", choices=["narrow", "wide"], default="narrow")
+    ap.add_argument("--profile", choices=["all", "narrow", "wide"], default="all")
     ap.add_argument("--select-on", choices=["test", "validation"], default="test")
     ap.add_argument("--no-tune", action="store_true")
     a = ap.parse_args(argv)

@@ -17,8 +17,9 @@ from __future__ import annotations
 import json
 import math
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -147,10 +148,7 @@ class FeatureModel:
         """
         spark = rows.sparkSession
         keep = [c for c in (rows.columns if keep is None else keep) if c in rows.columns]
-        built = {SCALED: self._sparse, INDEXED: self._dense}
-        whole = F.lit(True)
-        for c in self.numerics:
-            whole = whole & F.col(f"`{c}`").isNotNull()
+        built, whole = {SCALED: self._sparse, INDEXED: self._dense}, self._whole()
         out = self.with_slots(rows).select(*keep, *[F.when(whole, built[f]()).alias(f) for f in forms])
         if partitions:
             out = out.repartition(partitions, "split_key")
@@ -160,6 +158,39 @@ class FeatureModel:
         back = spark.read.schema(T.StructType(fields)).parquet(path)
         return back.withMetadata(INDEXED, self.attributes()) if INDEXED in forms else back
 
+    def _whole(self) -> Column:
+        whole = F.lit(True)
+        for c in self.numerics:
+            whole = whole & F.col(f"`{c}`").isNotNull()
+        return whole
+
+    # --- predicting, without a table in between ------------------------------
+
+    def predict(self, rows: DataFrame, model) -> DataFrame:
+        """``rows`` with ``prediction``: a narrow plan over the joins to the dictionary, nothing is written.
+
+        A linear model is looked up: each label's entry carries its coefficient times its
+        scale, and a prediction adds up one entry a column.  Any other model takes the nominal indexes.
+        A row with a null in a numeric column has no prediction.
+        """
+        if model.getFeaturesCol() == INDEXED:
+            values = F.when(self._whole(), array_to_vector(self._dense()["values"]))
+            own = self.with_slots(rows).select(*rows.columns, values.alias(INDEXED)).withMetadata(INDEXED, self.attributes())
+            seen = model.transform(own.where(F.col(INDEXED).isNotNull())).select(*rows.columns, "prediction")
+            return seen.unionByName(own.where(F.col(INDEXED).isNull()).select(*rows.columns, F.lit(None).cast("double").alias("prediction")))
+        base = self.width - len(self.numerics)
+        coefficients = model.coefficients.toArray().tolist()  # as MLlib holds them
+        spark = self.labels.sparkSession
+        weight = spark.createDataFrame(list(enumerate(coefficients[:base])), "slot bigint, weight double")
+        entries = cut_lineage(self.labels.join(weight, "slot").withColumn("scale", F.col("scale") * F.col("weight")).select(*self.labels.columns))
+        looked_up = replace(self, labels=entries).with_slots(rows)
+        total = F.lit(float(model.intercept))
+        for i in range(len(self.categoricals)):
+            total = total + F.coalesce(F.col(f"_slot_{i}.scale"), F.lit(0.0))
+        for j, (c, std) in enumerate(zip(self.numerics, self.numeric_std)):
+            total = total + F.col(f"`{c}`").cast("double") * F.lit(coefficients[base + j] / std if std else 0.0)
+        return looked_up.select(*rows.columns, total.alias("prediction"))
+
     # --- storing -------------------------------------------------------------
 
     def save(self, path: str) -> None:

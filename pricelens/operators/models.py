@@ -15,14 +15,16 @@ from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
                                    RandomForestRegressionModel, RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import CV_FOLDS, GBT_ROUNDS, LABEL, MODEL_FAMILIES, PARAM_GRIDS, RF_TREES, SEED
+from ..schema import CV_FOLDS, GBT_ROUNDS, ID, LABEL, MODEL_FAMILIES, PARAM_GRIDS, RF_TREES, SEED
+from .dictionary import INDEXED
 from .features import SCALED
 from .metrics import collect_metrics
+from .tuning import MAX_GRAM, fold_sides, in_parallel, linear_grid, out_of_fold, staged_boosting, width_of
 
 ESTIMATORS = {
     "Linear Regression": LinearRegression,
@@ -40,6 +42,11 @@ MODEL_CLASSES = {
 # one pass over the data split more nodes at once.
 TREE_EXECUTION = dict(cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
 
+# One-hot blocks sum to one, so with an intercept least squares has no single
+# solution; this penalty (about 1e-8 of a standardised coefficient's weight)
+# picks one and keeps the solver from giving up.
+LINEAR_RIDGE = 1e-3
+
 METRICS_TABLE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
     T.StructField("model_order", T.IntegerType()),
@@ -65,6 +72,8 @@ def estimator(name: str, features_col: str = SCALED, label: str = LABEL, seed: i
     """A family's estimator with the job's defaults (50 trees, 10 boosting rounds, fixed seed)."""
     cls = family_of(name)
     kw = dict(featuresCol=features_col, labelCol=label)
+    if name == "Linear Regression" and features_col == SCALED:
+        kw.update(regParam=LINEAR_RIDGE)
     if name == "Random Forest":
         kw.update(numTrees=RF_TREES, seed=seed, **TREE_EXECUTION)
     elif name == "Gradient Boosting":
@@ -73,6 +82,19 @@ def estimator(name: str, features_col: str = SCALED, label: str = LABEL, seed: i
     return cls(**kw)
 
 
+def features_for(name: str, df: DataFrame, features_col: str = SCALED) -> tuple[str, dict]:
+    """The vectors a family is fitted on, and the parameters they need.
+
+    Trees take the nominal indexes where a table has them: a one-hot slot for
+    every label would be a bin number in every row.  A tree then has
+    to have as many bins as the largest column has labels.
+    """
+    if name == "Linear Regression" or features_col != SCALED or INDEXED not in df.columns:
+        return features_col, {}
+    nominal = df.schema[INDEXED].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
+    return INDEXED, {"maxBins": max([32, *[a["num_vals"] for a in nominal]])}
+
+
 def param_grid(name: str, est, grid: dict | None = None):
     """Grid of a family (``PARAM_GRIDS`` unless a grid is passed)."""
     grid = PARAM_GRIDS[name] if grid is None else grid
@@ -127,7 +149,8 @@ def compare_models(train: DataFrame, test: DataFrame, families=None, features_co
     rows, models = [], {}
     try:
         for order, name in enumerate(families):
-            est = estimator(name, features_col, label, **overrides.get(name, {}))
+            own, needed = features_for(name, train, features_col)
+            est = estimator(name, own, label, **{**needed, **overrides.get(name, {})})
             model, secs = fit_timed(est, train)
             m = collect_metrics(model.transform(test), label)
             v = collect_metrics(model.transform(val), label)["rmse"] if val is not None else None
@@ -160,6 +183,20 @@ class Tuned:
     model: object
     cv_metrics: DataFrame        # (params, avg_rmse, std_rmse)
     test_metrics: dict
+    best: dict = field(default_factory=dict)
+    out_of_fold: dict = field(default_factory=dict)
+
+
+def _points(grid: dict) -> list[dict]:
+    """Every combination of a grid's values, the last parameter changing fastest."""
+    points = [{}]
+    for name, values in grid.items():
+        points = [{**p, name: v} for p in points for v in values]
+    return points
+
+
+def _described(p: dict) -> str:
+    return ", ".join(f"{k}={p[k]}" for k in sorted(p))
 
 
 def cross_validate(name: str, train: DataFrame, test: DataFrame | None = None, grid: dict | None = None,
@@ -167,39 +204,95 @@ def cross_validate(name: str, train: DataFrame, test: DataFrame | None = None, g
                    parallelism: int = 8, **params) -> Tuned:
     """K-fold CV over a family's grid, RMSE, folds from the ``fold`` column if present.
 
-    The grid points are fitted ``parallelism`` at a time; the best point is
-    refitted on the whole training table.
+    A linear grid over penalties is solved from one scan (up to ``MAX_GRAM``
+    features), a boosting grid over rounds from one fit for each fold and depth;
+    any other grid is fitted point by point, ``parallelism`` at a time.
+    The best point is refitted on the whole training table.
     """
-    est = estimator(name, features_col, label, **params)
-    maps = param_grid(name, est, grid)
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-    kw = dict(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
-              parallelism=parallelism, seed=SEED)
-    if "fold" in train.columns:
-        kw["foldCol"] = "fold"
-    cv = CrossValidator(**kw)
+    features_col, needed = features_for(name, train, features_col)
+    params = {**needed, **params}
+    grid = PARAM_GRIDS[name] if grid is None else grid
+    points = _points(grid)
+    make = lambda **p: estimator(name, features_col, label, **{**params, **p})
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cvm = cv.fit(train)
+        folded = "fold" in train.columns
+        penalties = name == "Linear Regression" and set(grid) <= {"regParam", "elasticNetParam"} and not set(params) - {"solver"}
+        if folded and penalties and width_of(train, features_col) <= MAX_GRAM:
+            scores = linear_grid(train, points, features_col, label)
+        elif folded and name == "Gradient Boosting" and "maxIter" in grid:
+            scores = staged_boosting(make, train, points, folds, parallelism)
+        else:
+            scores = _fitted_grid(make(), train, grid, folds, label, parallelism)
+        means = [sum(s) / len(s) for s in scores]
+        best = points[min(range(len(points)), key=lambda i: means[i])]
+        model = make(**best).fit(train)
     finally:
         train.unpersist()
-    spark = train.sparkSession
-    rows = []
-    for pm, avg, std in zip(maps, cvm.avgMetrics, cvm.stdMetrics):
-        desc = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((desc, float(avg), float(std)))
-    cv_table = spark.createDataFrame(rows, "params string, avg_rmse double, std_rmse double")
-    test_m = collect_metrics(cvm.bestModel.transform(test), label) if test is not None else {}
-    return Tuned(cvm.bestModel, cv_table, test_m)
+    spread = [(sum((x - m) ** 2 for x in s) / max(len(s) - 1, 1)) ** 0.5 for s, m in zip(scores, means)]
+    cv_table = train.sparkSession.createDataFrame([(_described(p), float(m), float(d)) for p, m, d in zip(points, means, spread)],
+                                                  "params string, avg_rmse double, std_rmse double")
+    test_m = collect_metrics(model.transform(test), label) if test is not None else {}
+    return Tuned(model, cv_table, test_m, {**params, **best})
+
+
+def _fitted_grid(est, train: DataFrame, grid: dict, folds: int, label: str, parallelism: int) -> list[list[float]]:
+    """RMSE of each point on each fold, one fit each."""
+    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
+    maps = [{est.getParam(k): v for k, v in p.items()} for p in _points(grid)]
+    if "fold" in train.columns:
+        sides = fold_sides(train, folds)
+    else:
+        parts = train.randomSplit([1.0] * folds, seed=SEED)
+        sides = [(_union([p for j, p in enumerate(parts) if j != i]), parts[i]) for i in range(folds)]
+    tasks = [lambda m=m, s=s: ev.evaluate(est.copy(m).fit(s[0]).transform(s[1])) for m in maps for s in sides]
+    flat = in_parallel(train.sparkSession, tasks, parallelism)
+    return [flat[i * folds:(i + 1) * folds] for i in range(len(maps))]
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def out_of_fold_metrics(name: str, train: DataFrame, folds: int = CV_FOLDS, features_col: str = SCALED, label: str = LABEL, **params) -> dict:
+    """Metrics over all training rows, each predicted by a model that did not see its fold."""
+    return collect_metrics(out_of_fold_table(name, train, folds, features_col, label, **params), label)
+
+
+def out_of_fold_table(name: str, train: DataFrame, folds: int = CV_FOLDS, features_col: str = SCALED, label: str = LABEL, **params) -> DataFrame:
+    """id, label, fold and prediction of every training row, by the model of a family that did not see its fold."""
+    own, needed = features_for(name, train, features_col)
+    keep = [c for c in (ID, label) if c in train.columns]
+    return out_of_fold(lambda: estimator(name, own, label, **{**needed, **params}), train, folds, keep)
 
 
 def tuned_or_base(base_metrics: dict, tuned: Tuned | None) -> str:
-    """``"tuned"`` when its test RMSE is strictly lower than the base model's RMSE."""
-    if tuned is None or not tuned.test_metrics:
+    """``"tuned"`` when its RMSE is strictly lower than the base model's: out of fold where both have one, else on the test rows."""
+    if tuned is None or not (tuned.test_metrics or tuned.out_of_fold):
         return "base"
+    base_oof = base_metrics.get("out_of_fold")
+    if base_oof and tuned.out_of_fold:
+        return "tuned" if tuned.out_of_fold["rmse"] < base_oof["rmse"] else "base"
     return "tuned" if tuned.test_metrics["rmse"] < base_metrics["rmse"] else "base"
 
 
+def tune_and_choose(name: str, base_metrics: dict, train: DataFrame, test: DataFrame | None = None, grid: dict | None = None,
+                    folds: int = CV_FOLDS, features_col: str = SCALED, label: str = LABEL, parallelism: int = 8, base_params: dict | None = None,
+                    **params) -> tuple[Tuned, str]:
+    """Tune a family, and say whether the tuned or the base model predicts unseen training rows better.
+
+    Both are compared on out-of-fold predictions of the training table; the
+    test table is only reported on.  ``base_metrics`` gets the base's under ``out_of_fold``.
+    """
+    tuned = cross_validate(name, train, test, grid, folds, features_col, label, parallelism, **params)
+    base_metrics["out_of_fold"] = out_of_fold_metrics(name, train, folds, features_col, label, **(base_params or {}))
+    tuned.out_of_fold = out_of_fold_metrics(name, train, folds, features_col, label, **tuned.best)
+    return tuned, tuned_or_base(base_metrics, tuned)
+
+
 def feature_importance(spark: SparkSession, model, names: list[str]) -> DataFrame | None:
     """``(idx, feature_name, importance)`` for tree models, None for others."""
     if not hasattr(model, "featureImportances"):

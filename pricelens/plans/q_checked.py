@@ -16,7 +16,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ..operators.features import split, with_fold
-from ..operators.models import best_model_row, compare_models, cross_validate, estimator, feature_importance
+from ..operators.models import best_model_row, compare_models, cross_validate, estimator, feature_importance, tune_and_choose
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID, LABEL, MARKET_FACTOR, PRICE_DECIMALS
@@ -92,6 +92,91 @@ def q_cv_line(spark, sf_dir):
     return tuned.cv_metrics.select("params", F.round("avg_rmse", 4).alias("avg_rmse"))
 
 
+_FOLDS = """
+WITH tf AS (SELECT Year, kmDriven, AskPrice, CAST(split_key % 3 AS INTEGER) AS fold FROM train), folds AS (SELECT DISTINCT fold FROM tf)"""
+RIDGE = [0.01, 0.1, 0.5, 50000.0]
+ELASTIC = {"regParam": [0.1, 20000.0], "elasticNetParam": [0.0, 0.5, 1.0]}
+
+
+@register("cv_ridge", with_listings(_FOLDS + f"""
+, sides AS (SELECT f.fold, avg(Year) AS m1, avg(kmDriven) AS m2, avg(AskPrice) AS my, stddev_pop(Year) AS s1, stddev_pop(kmDriven) AS s2, stddev_pop(AskPrice) AS sy,
+  corr(Year, kmDriven) AS r12, corr(Year, AskPrice) AS r1, corr(kmDriven, AskPrice) AS r2 FROM folds f JOIN tf t ON t.fold <> f.fold GROUP BY f.fold),
+grid AS (SELECT CAST(unnest([{", ".join(map(str, RIDGE))}]) AS DOUBLE) AS reg),
+solved AS (SELECT *, 1 + reg / sy AS d FROM sides, grid),
+lines AS (SELECT fold, reg, m1, m2, my, (d * r1 - r12 * r2) / (d * d - r12 * r12) * sy / s1 AS b1, (d * r2 - r12 * r1) / (d * d - r12 * r12) * sy / s2 AS b2 FROM solved),
+per_fold AS (SELECT reg, fold, sqrt(avg((AskPrice - my - b1 * (Year - m1) - b2 * (kmDriven - m2))^2)) AS rmse FROM tf JOIN lines USING (fold) GROUP BY reg, fold)
+SELECT concat('elasticNetParam=0.0, regParam=', reg) AS params, round(avg(rmse), 4) AS avg_rmse FROM per_fold GROUP BY reg"""))
+def q_cv_ridge(spark, sf_dir):
+    """Ridge grid on Year and kmDriven from one scan: mean validation RMSE of each penalty over the hash folds."""
+    train, _ = split(materialized(spark, sf_dir, [ID, "Year", "kmDriven", LABEL]))
+    vectors = VectorAssembler(inputCols=["Year", "kmDriven"], outputCol="f").transform(with_fold(train, 3))
+    tuned = cross_validate("Linear Regression", vectors, grid={"regParam": RIDGE, "elasticNetParam": [0.0]}, folds=3, features_col="f", solver="normal")
+    return tuned.cv_metrics.select("params", F.round("avg_rmse", 4).alias("avg_rmse"))
+
+
+@register("cv_elastic_net", with_listings(_FOLDS + f"""
+, sides AS (SELECT f.fold, avg(Year) AS m, avg(AskPrice) AS my, stddev_pop(Year) AS s, stddev_pop(AskPrice) AS sy, corr(Year, AskPrice) AS r
+ FROM folds f JOIN tf t ON t.fold <> f.fold GROUP BY f.fold),
+grid AS (SELECT reg, en FROM (SELECT CAST(unnest({ELASTIC["regParam"]}) AS DOUBLE) AS reg), (SELECT CAST(unnest({ELASTIC["elasticNetParam"]}) AS DOUBLE) AS en)),
+lines AS (SELECT fold, reg, en, m, my, sign(r) * greatest(abs(r) - en * reg / sy, 0) / (1 + (1 - en) * reg / sy) * sy / s AS b FROM sides, grid),
+per_fold AS (SELECT reg, en, fold, sqrt(avg((AskPrice - my - b * (Year - m))^2)) AS rmse FROM tf JOIN lines USING (fold) GROUP BY reg, en, fold)
+SELECT concat('elasticNetParam=', en, ', regParam=', reg) AS params, round(avg(rmse), 4) AS avg_rmse FROM per_fold GROUP BY reg, en"""))
+def q_cv_elastic_net(spark, sf_dir):
+    """Penalty × L1 share on Year from the same sums: soft thresholding in closed form."""
+    train, _ = split(materialized(spark, sf_dir, [ID, "Year", LABEL]))
+    tuned = cross_validate("Linear Regression", _year_features(with_fold(train, 3)), grid=ELASTIC, folds=3, features_col="f", solver="normal")
+    return tuned.cv_metrics.select("params", F.round("avg_rmse", 4).alias("avg_rmse"))
+
+
+@register("cv_boosting_stages", with_listings(_FOLDS + f"""
+, means AS (SELECT f.fold, t.Year, avg(t.AskPrice) AS prediction FROM folds f JOIN tf t ON t.fold <> f.fold GROUP BY f.fold, t.Year),
+per_fold AS (SELECT v.fold, sqrt(avg((v.AskPrice - m.prediction)^2)) AS rmse FROM tf v JOIN means m ON m.fold = v.fold AND m.Year = v.Year GROUP BY v.fold)
+SELECT concat('maxDepth={DEEP}, maxIter=', k) AS params, round(avg(rmse), 4) AS avg_rmse FROM per_fold, (SELECT unnest([1, 2, 4]) AS k) GROUP BY k"""))
+def q_cv_boosting_stages(spark, sf_dir):
+    """Rounds grid of boosting on Year from one fit a fold: the first tree is the mean per Year, and no later one can better it."""
+    train, _ = split(materialized(spark, sf_dir, [ID, "Year", LABEL]))
+    tuned = cross_validate("Gradient Boosting", _year_features(with_fold(train, 3)), grid={"maxDepth": [DEEP], "maxIter": [1, 2, 4]}, folds=3, features_col="f")
+    return tuned.cv_metrics.select("params", F.round("avg_rmse", 4).alias("avg_rmse"))
+
+
+_SHRUNK = 50000.0
+
+
+@register("tuned_vs_base_by_year", with_listings(_FOLDS + f"""
+, sides AS (SELECT f.fold, avg(Year) AS m, avg(AskPrice) AS my, regr_slope(AskPrice, Year) AS b, stddev_pop(AskPrice) AS sy
+ FROM folds f JOIN tf t ON t.fold <> f.fold GROUP BY f.fold),
+whole AS (SELECT avg(Year) AS m, avg(AskPrice) AS my, regr_slope(AskPrice, Year) AS b, stddev_pop(AskPrice) AS sy FROM tf),
+oof AS (SELECT sqrt(avg((AskPrice - my - b * (Year - m))^2)) AS plain, sqrt(avg((AskPrice - my - b / (1 + {_SHRUNK} / sy) * (Year - m))^2)) AS shrunk
+ FROM tf JOIN sides USING (fold)),
+tested AS (SELECT sqrt(avg((AskPrice - my - b * (Year - m))^2)) AS plain, sqrt(avg((AskPrice - my - b / (1 + {_SHRUNK} / sy) * (Year - m))^2)) AS shrunk
+ FROM test, whole)
+SELECT 'plain' AS base, CASE WHEN o.shrunk < o.plain THEN 'tuned' ELSE 'base' END AS choice, round(o.plain, 4) AS base_oof_rmse,
+ round(o.shrunk, 4) AS tuned_oof_rmse, round(t.shrunk, 4) AS tuned_test_rmse FROM oof o, tested t
+UNION ALL SELECT 'shrunk', CASE WHEN o.plain < o.shrunk THEN 'tuned' ELSE 'base' END, round(o.shrunk, 4), round(o.plain, 4), round(t.plain, 4) FROM oof o, tested t"""))
+def q_tuned_vs_base_by_year(spark, sf_dir):
+    """Least squares on Year against a shrunk line, either as the base: chosen by out-of-fold error, the test error only reported."""
+    train, test = split(materialized(spark, sf_dir, [ID, "Year", LABEL]))
+    train, test, rows = _year_features(with_fold(train, 3)), _year_features(test), []
+    for name, base, other in (("plain", 0.0, _SHRUNK), ("shrunk", _SHRUNK, 0.0)):
+        metrics = {}
+        tuned, choice = tune_and_choose("Linear Regression", metrics, train, test, {"regParam": [other]}, 3, "f",
+                                        base_params={"regParam": base, "solver": "normal"}, solver="normal")
+        rows.append((name, choice, metrics["out_of_fold"]["rmse"], tuned.out_of_fold["rmse"], tuned.test_metrics["rmse"]))
+    out = spark.createDataFrame(rows, "base string, choice string, base_oof_rmse double, tuned_oof_rmse double, tuned_test_rmse double")
+    return out.withColumns({c: F.round(c, 4) for c in out.columns[2:]})
+
+
+@register("out_of_fold_by_year", with_listings(_FOLDS.replace("SELECT Year, kmDriven", "SELECT listing_id, Year, kmDriven") + """
+, means AS (SELECT f.fold, t.Year, avg(t.AskPrice) AS prediction FROM folds f JOIN tf t ON t.fold <> f.fold GROUP BY f.fold, t.Year)
+SELECT v.listing_id, v.fold, round(m.prediction, 4) AS prediction FROM tf v JOIN means m ON m.fold = v.fold AND m.Year = v.Year"""))
+def q_out_of_fold_by_year(spark, sf_dir):
+    """Every training row predicted by the mean per Year of the other folds."""
+    from ..operators.models import out_of_fold_table
+    train, _ = split(materialized(spark, sf_dir, [ID, "Year", LABEL]))
+    table = out_of_fold_table("Random Forest", _year_features(with_fold(train, 3)), 3, "f", **ONE_TREE)
+    return table.select(ID, "fold", F.round("prediction", 4).alias("prediction"))
+
+
 @register("importance_of_stump", with_listings("""
 WITH x AS (SELECT AskPrice AS y, CASE WHEN Transmission = 'Automatic' THEN 1 ELSE 0 END AS f0,
  CASE WHEN FuelType = 'Diesel' THEN 1 ELSE 0 END AS f1 FROM train),
@@ -152,12 +237,12 @@ def q_score_from_saved_by_year(spark, sf_dir):
 @register("score_stream_by_year", with_listings(_SCORED))
 def q_score_stream_by_year(spark, sf_dir):
     """The same requests as files, through the streaming job."""
-    from ..streaming.score_stream import REQUEST_FILE_SCHEMA, score_stream
+    from ..streaming.score_stream import REQUEST_FILE_SCHEMA, read_sink, score_stream
     base, model = f"{artifact_dir(spark, 'stream_by_year')}/{uuid.uuid4().hex}", _saved(spark, sf_dir)
     req = requests(spark, sf_dir)
     req.select(*[F.col(f.name) if f.name in req.columns else F.lit(None).cast("string").alias(f.name)
                  for f in REQUEST_FILE_SCHEMA.fields]).write.parquet(f"{base}/requests")
     for handle in score_stream(spark, model, f"{base}/requests", f"{base}/out", checkpoint_dir=f"{base}/ckpt"):
         handle.awaitTermination()
-    bad = spark.read.parquet(f"{base}/out/quarantine").withColumn("errors", F.split("errors", "; "))
-    return _priced(all_requests(spark.read.parquet(f"{base}/out/scored"), bad))
+    bad = read_sink(spark, f"{base}/out", "quarantine").withColumn("errors", F.split("errors", "; "))
+    return _priced(all_requests(read_sink(spark, f"{base}/out", "scored"), bad))

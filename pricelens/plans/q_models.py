@@ -19,9 +19,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from ..operators.features import SCALED, feature_names, prepare, profile_columns, split, with_fold
+from ..operators.dictionary import prepare_features
+from ..operators.features import split, with_fold
 from ..operators.metrics import regression_metrics
-from ..operators.models import best_model_row, compare_models, cross_validate, feature_importance, tuned_or_base
+from ..operators.models import best_model_row, compare_models, cross_validate, estimator, feature_importance, features_for, tune_and_choose
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID, LABEL, MARKET_FACTOR, SEED
@@ -32,7 +33,6 @@ from .score import all_requests, predict, score_requests
 from .train import train as train_job
 
 YEAR_COLS = [ID, "Year", "kmDriven", LABEL]
-NARROW_COLS = [ID, *profile_columns("narrow")[0], *profile_columns("narrow")[1], LABEL]
 
 # Depth that gives each of up to 2**10 distinct values of one feature its own leaf.
 DEEP = 10
@@ -57,16 +57,15 @@ def _one_feature(df, col):
 # --- flagship --------------------------------------------------------------
 
 def flagship_scores(spark, sf_dir, family: str = "Linear Regression"):
-    """Clean listings, fit the narrow pipeline and a regressor on the training
+    """Clean listings, fit the feature dictionary over all ten features and a regressor on the training
     split, and price every clean listing (prediction and market-adjusted)."""
-    # The clean table feeds four passes (index, scale, fit, score): write it
+    # The clean table feeds several passes (index, scale, fit, score): write it
     # once to the checkpoint folder instead of re-running scan and joins.
-    df = materialized(spark, sf_dir, NARROW_COLS)
-    prep = prepare(df, "narrow")
-    est = {"Linear Regression": LinearRegression, "Random Forest": RandomForestRegressor,
-           "Gradient Boosting": GBTRegressor}[family](featuresCol=SCALED, labelCol=LABEL)
-    model = est.fit(prep.train)
-    return predict(df, prep.pipeline_model, model, family, MARKET_FACTOR, keep=(ID,))
+    df = materialized(spark, sf_dir)
+    prep = prepare_features(df)
+    features_col, needed = features_for(family, prep.train)
+    model = estimator(family, features_col, **needed).fit(prep.train)
+    return predict(df, prep.features, model, family, MARKET_FACTOR, keep=(ID,))
 
 
 @register("score_batch")
@@ -194,9 +193,8 @@ def q_cv_group_mean(spark, sf_dir):
 # --- full families (rows-only) ----------------------------------------------
 
 def _prepared(spark, sf_dir, folds: int | None = None):
-    prep = prepare(materialized(spark, sf_dir, NARROW_COLS), "narrow")
-    train = with_fold(prep.train, folds) if folds else prep.train
-    return prep, train, prep.test
+    prep = prepare_features(materialized(spark, sf_dir), folds=folds)
+    return prep, prep.train, prep.test
 
 
 @register("model_comparison")
@@ -219,8 +217,7 @@ def q_feature_importance(spark, sf_dir):
     """Named importances of the boosted model's features."""
     prep, train, test = _prepared(spark, sf_dir)
     comp = compare_models(train, test, ["Gradient Boosting"])
-    names = feature_names(prep.pipeline_model.transform(clean(spark, sf_dir).limit(0)), "features")
-    return feature_importance(spark, comp.models["Gradient Boosting"], names)
+    return feature_importance(spark, comp.models["Gradient Boosting"], prep.features.categoricals + prep.features.numerics)
 
 
 def _cv(spark, sf_dir, family, grid=None):
@@ -248,22 +245,22 @@ def q_cv_gbt(spark, sf_dir):
 
 @register("tuned_vs_base")
 def q_tuned_vs_base(spark, sf_dir):
-    """Tuned linear model vs the untuned one, RMSE against RMSE on the test split."""
+    """Tuned linear model vs the untuned one, compared out of fold; RMSE on the test split beside it."""
     _, train, test = _prepared(spark, sf_dir, folds=3)
     comp = compare_models(train, test, ["Linear Regression"])
     base = comp.metrics.first().asDict()
-    tuned = cross_validate("Linear Regression", train, test)
-    choice = tuned_or_base(base, tuned)
+    tuned, choice = tune_and_choose("Linear Regression", base, train, test)
     return spark.createDataFrame(
-        [("Linear Regression", choice, float(base["rmse"]), float(tuned.test_metrics["rmse"]))],
-        "model string, choice string, base_rmse double, tuned_rmse double")
+        [("Linear Regression", choice, float(base["out_of_fold"]["rmse"]), float(tuned.out_of_fold["rmse"]), float(base["rmse"]),
+          float(tuned.test_metrics["rmse"]))],
+        "model string, choice string, base_oof_rmse double, tuned_oof_rmse double, base_rmse double, tuned_rmse double")
 
 
 @register("train_job")
 def q_train_job(spark, sf_dir):
     """The whole training job (compare, tune the best, save artefacts); its metrics table."""
     out = f"{artifact_dir(spark, 'train_job')}/{uuid.uuid4().hex}"
-    res = train_job(clean(spark, sf_dir), out, "narrow")
+    res = train_job(clean(spark, sf_dir), out)
     return res.comparison.metrics.drop("fit_seconds").withColumn(
         "chosen", (F.col("model") == F.lit(res.best_name)) & F.lit(True)).withColumn(
         "final", F.lit(res.choice))
@@ -273,7 +270,7 @@ def q_train_job(spark, sf_dir):
 def q_score_from_saved(spark, sf_dir):
     """Train without tuning, save, load the artefacts back and score the raw listings as requests."""
     out = f"{artifact_dir(spark, 'score_from_saved')}/{uuid.uuid4().hex}"
-    train_job(clean(spark, sf_dir), out, "narrow", tune=False, save_clean=False)
+    train_job(clean(spark, sf_dir), out, tune=False, save_clean=False)
     art = load_artifacts(spark, out)
     return all_requests(*score_requests(requests(spark, sf_dir), art))
 
@@ -281,13 +278,13 @@ def q_score_from_saved(spark, sf_dir):
 @register("score_stream")
 def q_score_stream(spark, sf_dir):
     """Requests written as files, scored by the streaming job (available-now trigger)."""
-    from ..streaming.score_stream import REQUEST_FILE_SCHEMA, score_stream
+    from ..streaming.score_stream import REQUEST_FILE_SCHEMA, read_sink, score_stream
     base = artifact_dir(spark, f"score_stream/{uuid.uuid4().hex}")
-    train_job(clean(spark, sf_dir), f"{base}/model", "narrow", tune=False, save_clean=False)
+    train_job(clean(spark, sf_dir), f"{base}/model", tune=False, save_clean=False)
     req = requests(spark, sf_dir)
     req.select(*[F.col(f.name).cast("string") if f.name in req.columns else F.lit(None).cast("string").alias(f.name)
                  for f in REQUEST_FILE_SCHEMA.fields]).write.mode("overwrite").parquet(f"{base}/requests")
     for h in score_stream(spark, f"{base}/model", f"{base}/requests", f"{base}/out", checkpoint_dir=f"{base}/ckpt"):
         h.awaitTermination()
-    bad = spark.read.parquet(f"{base}/out/quarantine").withColumn("errors", F.split("errors", "; "))
-    return all_requests(spark.read.parquet(f"{base}/out/scored"), bad)
+    bad = read_sink(spark, f"{base}/out", "quarantine").withColumn("errors", F.split("errors", "; "))
+    return all_requests(read_sink(spark, f"{base}/out", "scored"), bad)

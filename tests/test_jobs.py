@@ -162,6 +162,67 @@ def test_streaming_scorer_matches_batch_scoring(spark, trained):
     assert spark.read.parquet(f"{base}/out/quarantine").count() + streamed.count() == req.count()
 
 
+def request_files(spark, base, parts):
+    from pricelens.streaming.score_stream import REQUEST_FILE_SCHEMA
+    req = requests(spark, SF_SMALL).select(*[F.col(f.name).cast("string") if f.name in requests(spark, SF_SMALL).columns else F.lit(None).cast("string").alias(f.name)
+                                             for f in REQUEST_FILE_SCHEMA.fields])
+    for k in range(parts):
+        req.where(F.pmod(F.xxhash64("*"), F.lit(parts)) == k).coalesce(1).write.mode("append").parquet(f"{base}/requests")
+    return req
+
+
+def test_a_failed_batch_is_repeated_and_nothing_is_lost_or_doubled(spark, trained, monkeypatch):
+    from pricelens.streaming import score_stream as stream
+    _, out = trained
+    base = os.path.join(ensure_checkpoint_dir(spark), "test-stream", uuid.uuid4().hex)
+    req = request_files(spark, base, 3)
+    whole = stream.score_batch
+
+    def dies_after_writing(df, k, *a):
+        whole(df, k, *a)
+        if k == 1:
+            raise RuntimeError("executor and driver lost")
+
+    monkeypatch.setattr(stream, "score_batch", dies_after_writing)
+    run = lambda: [h.awaitTermination() for h in stream.score_stream(
+        spark, out, f"{base}/requests", f"{base}/out", checkpoint_dir=f"{base}/ckpt", max_files_per_trigger=1)]
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.setattr(stream, "score_batch", whole)
+    run()
+    run()
+    scored, bad = score_requests(req, load_artifacts(spark, out))
+    key = ["listing_id", "prediction"]
+    assert sorted(stream.read_sink(spark, f"{base}/out", "scored").select(*key).collect()) == sorted(scored.select(*key).collect())
+    assert stream.read_sink(spark, f"{base}/out", "quarantine").count() == bad.count()
+
+
+def test_stream_reads_csv_requests_like_the_batch_reader(spark, trained):
+    from pricelens.streaming import score_stream as stream
+    from pricelens.sources.listings import write_clean
+    _, out = trained
+    base = os.path.join(ensure_checkpoint_dir(spark), "test-stream", uuid.uuid4().hex)
+    names = [f.name for f in stream.REQUEST_FILE_SCHEMA.fields]
+    odd = spark.createDataFrame([["a", "Brand#13", ' two\nlines, "q" ', "1996", None, "1000", "Manual", "first", "Petrol", "Jan-96", "x"]],
+                                ", ".join(f"`{n}` string" for n in ["listing_id", "Brand", "model", "Year", "Age", "kmDriven", "Transmission", "Owner", "FuelType", "PostedDate", "AdditionInfo"]))
+    write_clean(odd.select(*names).coalesce(1), f"{base}/requests", fmt="csv")
+    for h in stream.score_stream(spark, out, f"{base}/requests", f"{base}/out", fmt="csv", checkpoint_dir=f"{base}/ckpt"):
+        h.awaitTermination()
+    assert [r.model for r in stream.read_sink(spark, f"{base}/out", "scored").collect()] == [' two\nlines, "q" ']
+
+
+def test_train_on_all_ten_features_save_and_score(spark):
+    from pricelens.operators.dictionary import FeatureModel
+    out = os.path.join(ensure_checkpoint_dir(spark), "test-artifacts", uuid.uuid4().hex)
+    res = train(clean(spark, SF_SMALL), out, families=["Linear Regression"], grid={"regParam": [0.01, 100.0]}, save_clean=False)
+    art = load_artifacts(spark, out)
+    assert isinstance(art.pipeline_model, FeatureModel) and len(art.pipeline_model.categoricals + art.pipeline_model.numerics) == 10
+    assert res.tuned.out_of_fold["rmse"] > 0 and res.choice in ("base", "tuned")
+    req = requests(spark, SF_SMALL)
+    scored, bad = score_requests(req, art)
+    assert scored.count() + bad.count() == req.count() and scored.where("prediction is null").count() == 0
+
+
 def test_profile_builds_every_summary(spark):
     from pricelens.operators.profile import profile
     from pricelens.plans.common import materialized

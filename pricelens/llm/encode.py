@@ -52,7 +52,7 @@ class TextsEncoder:
         self.begins[[i for t, i in vocab.items() if t[0] == space]] = True
         self.side_by_side = self.byte_level and not self.lower and not any(space in t.lstrip(space) for t in vocab)
         self.marks = WordIds(lambda m: packed([t.id for t in self.model.tokenize(m)]), 10_000)
-        self.words = WordIds(self._other_ids)
+        self.words = WordIds(self._other_ids, 250_000)
 
     def _other_ids(self, piece: str) -> bytes:
         if piece[0] == FIRST:
@@ -145,7 +145,7 @@ def texts_encoder(path: str) -> TextsEncoder:
     return _ENCODERS[path]
 
 
-def byte_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8 << 20, rows: int = 8_192) -> Iterator[pa.RecordBatch]:
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20, rows: int = 8_192) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most ``rows`` rows and about ``most`` bytes of the text column (one row at least)."""
     for b in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)

@@ -19,7 +19,7 @@ def main(argv=None) -> int:
     ap.add_argument("--mode", choices=["train", "predict", "both"], default="predict")
     ap.add_argument("--data", help="raw listing CSV (header, text columns)")
     ap.add_argument("--requests", help="request CSV to score (header, text columns)")
-    ap.add_argument("--out", required=True, help="artefact folder (model, pipeline, metadata, metrics)")
+    ap.add_argument("--out", required=True, help="artefact store: a folder for each training run, the newest finished one serves")
     ap.add_argument("--scored", help="output folder for scored and quarantined requests")
     ap.add_argument("--profile", choices=["all", "narrow", "wide"], default="all")
     ap.add_argument("--select-on", choices=["test", "validation"], default="test")
@@ -45,7 +45,7 @@ def main(argv=None) -> int:
             ap.error("--data is required to train")
         try:
             res = train(clean_listings(read_raw_csv(spark, a.data)), a.out, a.profile, tune=not a.no_tune,
-                        select_on=a.select_on)
+                        select_on=a.select_on, versioned=True)
         except Exception as e:  # noqa: BLE001
             print(f"training failed: {e}", file=sys.stderr)
             if a.mode == "both":

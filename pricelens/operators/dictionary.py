@@ -136,7 +136,8 @@ class FeatureModel:
         k = len(self.categoricals)
         nominal = [{"idx": i, "name": c, "num_vals": a} for i, (c, a) in enumerate(zip(self.categoricals, self.arities))]
         numeric = [{"idx": k + j, "name": c} for j, c in enumerate(self.numerics)]
-        return {"ml_attr": {"attrs": {"nominal": nominal, "numeric": numeric}, "num_attrs": k + len(self.numerics)}}
+        kinds = {name: own for name, own in (("nominal", nominal), ("numeric", numeric)) if own}
+        return {"ml_attr": {"attrs": kinds, "num_attrs": k + len(self.numerics)}}
 
     def transform(self, rows: DataFrame, keep=None, forms=(SCALED, INDEXED), partitions: int | None = None) -> DataFrame:
         """The columns in ``keep`` (all) and the vectors in ``forms``, as a table in the shared checkpoint folder.

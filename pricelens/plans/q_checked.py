@@ -22,9 +22,10 @@ from ..registry import register
 from ..schema import ID, LABEL, MARKET_FACTOR, PRICE_DECIMALS
 from ..sources.artifacts import artifact_dir, load_artifacts, metadata_frame, save_metadata, save_model, save_pipeline
 from .common import clean, materialized
-from .q_models import DEEP
+from .q_models import DEEP, stored_run
 from .q_serve import CONFORMED_SQL, requests
 from .score import all_requests, predict, score_requests
+from .train import train as train_job
 
 ONE_TREE = dict(numTrees=1, bootstrap=False, maxDepth=DEEP, featureSubsetStrategy="all")
 REDUCED = {
@@ -195,6 +196,18 @@ def q_importance_of_stump(spark, sf_dir):
     return feature_importance(spark, model, names)
 
 
+@register("train_job_by_year", with_listings(_COMPARED + """
+, best AS (SELECT model FROM compared WHERE model_order < 2 ORDER BY rmse, model_order LIMIT 1)
+SELECT compared.*, 'base' AS final, model = (SELECT model FROM best) AS chosen FROM compared WHERE model_order < 2"""))
+def q_train_job_by_year(spark, sf_dir):
+    """The training job on Year alone, stored as a run and read back through its manifest."""
+    out = f"{artifact_dir(spark, 'train_job_by_year')}/{uuid.uuid4().hex}"
+    own = {"Linear Regression": dict(solver="normal", regParam=0.0), "Random Forest": ONE_TREE}
+    train_job(clean(spark, sf_dir).select(ID, "Year", LABEL), out, families=list(own), tune=False, versioned=True, save_clean=False, **own)
+    run = stored_run(spark, out)
+    return _rounded(run).join(run.select("model", "final", "chosen"), "model")
+
+
 def _mean_per_year(spark, sf_dir):
     """(pipeline, one-tree forest) fitted on the training split."""
     train, _ = split(materialized(spark, sf_dir, [ID, "Year", LABEL]))

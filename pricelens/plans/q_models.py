@@ -26,7 +26,8 @@ from ..operators.models import best_model_row, compare_models, cross_validate, e
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID, LABEL, MARKET_FACTOR, SEED
-from ..sources.artifacts import artifact_dir, load_artifacts
+from ..sources.artifacts import METRICS_DIR, artifact_dir, load_artifacts
+from ..sources.store import current_path, manifests
 from .common import clean, materialized
 from .q_serve import requests
 from .score import all_requests, predict, score_requests
@@ -258,12 +259,17 @@ def q_tuned_vs_base(spark, sf_dir):
 
 @register("train_job")
 def q_train_job(spark, sf_dir):
-    """The whole training job (compare, tune the best, save artefacts); its metrics table."""
+    """The whole training job (compare, tune the best, save artefacts as a run); its metrics table, read back."""
     out = f"{artifact_dir(spark, 'train_job')}/{uuid.uuid4().hex}"
-    res = train_job(clean(spark, sf_dir), out)
-    return res.comparison.metrics.drop("fit_seconds").withColumn(
-        "chosen", (F.col("model") == F.lit(res.best_name)) & F.lit(True)).withColumn(
-        "final", F.lit(res.choice))
+    train_job(clean(spark, sf_dir), out, versioned=True)
+    return stored_run(spark, out)
+
+
+def stored_run(spark, out):
+    """The metrics table of a store's newest run, with the model that its manifest names."""
+    names = manifests(spark, out).orderBy(F.desc("version")).limit(1).select("model_name", F.col("choice").alias("final"))
+    metrics = spark.read.parquet(f"{current_path(spark, out)}/{METRICS_DIR}").drop("fit_seconds")
+    return metrics.join(F.broadcast(names), F.lit(True)).withColumn("chosen", F.col("model") == F.col("model_name")).drop("model_name")
 
 
 @register("score_from_saved")

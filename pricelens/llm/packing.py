@@ -11,7 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, row_slices, text_encoder
+from .common import pick
+from .encode import byte_slices, texts_encoder
 
 #: A piece before it is placed: doc_id, ids of the document before it, its ids, ids of the whole document.
 Piece = tuple[int, int, np.ndarray, int]
@@ -126,12 +127,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
                        ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches):
-        encode, first = text_encoder(tokenizer, special_as_text=False), TaskContext.get().partitionId() << 40
+        encode, first, end = texts_encoder(tokenizer), TaskContext.get().partitionId() << 40, np.array([end_id], "<u4")
 
         def pieces():
-            for b in row_slices(batches):
-                for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    ids = np.append(np.frombuffer(encode(text or ""), "<u4"), np.uint32(end_id)).astype("<u4")
+            for b in byte_slices(batches, 1):
+                for doc, own in zip(b.column(0).to_pylist(), encode(b.column(1))):
+                    ids = np.concatenate([own, end])
                     for start in range(0, len(ids), size):
                         yield doc, start, ids[start:start + size], len(ids)
 

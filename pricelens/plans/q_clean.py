@@ -162,10 +162,10 @@ def q_dataset_shape(spark, sf_dir):
 def q_raw_csv_roundtrip(spark, sf_dir):
     """Raw listings written as CSV by the executors, read back as text with a
     fixed schema (no inference pass), then cleaned."""
-    from ..sources.artifacts import artifact_dir
+    from ..sources.artifacts import run_dir
     from ..sources.listings import read_raw_csv
     from ..operators.clean import clean_listings
-    path = artifact_dir(spark, "raw_listings_csv")
+    path = run_dir(spark, "raw_listings_csv")
     raw_listings(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
     return clean_listings(read_raw_csv(spark, path))
 
@@ -173,8 +173,8 @@ def q_raw_csv_roundtrip(spark, sf_dir):
 @register("csv_roundtrip", with_listings("SELECT * FROM clean"))
 def q_csv_roundtrip(spark, sf_dir):
     """The clean table written as CSV from the executors and read back typed."""
-    from ..sources.artifacts import artifact_dir
+    from ..sources.artifacts import run_dir
     from ..sources.listings import read_clean_csv, write_clean
-    path = artifact_dir(spark, "clean_csv")
+    path = run_dir(spark, "clean_csv")
     write_clean(clean(spark, sf_dir), path, fmt="csv")
     return read_clean_csv(spark, path)

@@ -26,7 +26,7 @@ from ..operators.models import best_model_row, compare_models, cross_validate, e
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID, LABEL, MARKET_FACTOR, SEED
-from ..sources.artifacts import METRICS_DIR, artifact_dir, load_artifacts
+from ..sources.artifacts import METRICS_DIR, artifact_dir, load_artifacts, run_dir
 from ..sources.store import current_path, manifests
 from .common import clean, materialized
 from .q_serve import requests
@@ -118,7 +118,7 @@ def q_json_meta_roundtrip(spark, sf_dir):
                                maxDepth=DEEP, featureSubsetStrategy="all", seed=SEED)
     model = rf.fit(_one_feature(train, "Year"))
     m = collect_metrics(model.transform(_one_feature(test, "Year")))
-    out = artifact_dir(spark, "json_meta_roundtrip")
+    out = run_dir(spark, "json_meta_roundtrip")
     save_metadata(metadata_frame(spark, "group_mean_tree", m), out)
     meta = load_metadata(spark, out)
     return meta.select("model_name", F.round("metrics.RMSE", 6).alias("RMSE"),

@@ -1,4 +1,4 @@
-"""Registered queries: feature dictionaries over all ten features (F1-F8 on the whole vocabulary)."""
+"""Registered queries: feature dictionaries over all ten features (F1-F8 on the whole vocabulary), CSV read in blocks."""
 
 from __future__ import annotations
 
@@ -10,6 +10,10 @@ from ..operators.features import with_split_key
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID, WIDE_CATEGORICALS, WIDE_NUMERICS
+from ..session import sf_path
+from ..sources.artifacts import run_dir
+from ..sources.listings import CSV, write_clean
+from ..sources.split_csv import read_split_csv
 from .common import materialized
 
 _LABELS = ("lab0 AS (" + " UNION ALL ".join(
@@ -71,3 +75,14 @@ def q_wide_vectors(spark, sf_dir):
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     return scaled.groupBy(ID).agg(F.sum(F.size("v.indices")).alias("n_nonzero"), F.round(F.sum(total(F.col("v.values"))), 4).alias("scaled_sum"),
                                   F.sum(total(F.col("i"))).alias("index_sum"))
+
+
+@register("documents_csv_roundtrip", "SELECT CAST(doc_id AS BIGINT) AS doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars FROM documents")
+def q_documents_csv_roundtrip(spark, sf_dir):
+    """Texts with line breaks, commas and quotes as one CSV file, read back block by block."""
+    from pyspark.sql import types as T
+    docs = spark.read.parquet(sf_path(sf_dir, "documents")).select(F.col("doc_id").cast("long"), "text")
+    path = run_dir(spark, "documents_csv")
+    write_clean(docs.coalesce(1), path, fmt="csv")
+    back = read_split_csv(spark, path, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]), CSV)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"))

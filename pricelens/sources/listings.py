@@ -12,9 +12,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schema import CLEAN_SCHEMA, ID, RAW_COLUMNS
 from ..session import sf_path
+from .split_csv import read_split_csv
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                     "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -87,14 +89,17 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     folder or glob must have the same columns in the same order.  Text keeps
     its line breaks, quotes and outer spaces.  No type
     inference: no extra pass over the data, and no column silently turning
-    into a date or boolean that the feature step would then ignore.
+    into a date or boolean that the feature step would then ignore.  A file is
+    read by as many tasks as it has blocks.
     """
-    return _csv(spark, path, spark.read.option("inferSchema", False))
+    names = _found(path, lambda: spark.read.options(**CSV).csv(path).columns)
+    return read_split_csv(spark, path, StructType([StructField(n, StringType()) for n in names]), CSV)
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a clean listing CSV written by ``write_clean``."""
-    return _csv(spark, path, spark.read.schema(CLEAN_SCHEMA))
+    _found(path, lambda: spark.read.text(path))
+    return read_split_csv(spark, path, CLEAN_SCHEMA, CSV)
 
 
 def write_clean(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -111,10 +116,10 @@ def raw_columns_present(df: DataFrame) -> list[str]:
     return [c for c in RAW_COLUMNS if c in df.columns]
 
 
-def _csv(spark: SparkSession, path: str, reader) -> DataFrame:
-    """A CSV file, folder or glob; a missing path is named in a FileNotFoundError."""
+def _found(path: str, read):
+    """What ``read`` gives; a missing path is named in a FileNotFoundError."""
     try:
-        return reader.options(**CSV).option("multiLine", True).csv(path)
+        return read()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"data file not found at {path}") from e

@@ -25,6 +25,6 @@ def duck():
 
 
 def duck_on(con, sf_dir):
-    for t in ["part", "orders", "lineitem"]:
+    for t in ["part", "orders", "lineitem", "documents"]:
         con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con

@@ -111,14 +111,24 @@ def histogram(df: DataFrame, c: str = LABEL, bins: int | None = None, exact: boo
                          F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
+#: Terms of the kernel series and its reach in bandwidths; see ``kde`` for the error they leave.
+KDE_TERMS, KDE_REACH = 22, 9.0
+
+
 def kde(df: DataFrame, c: str = LABEL, points: int = GRID_POINTS) -> DataFrame:
-    """Gaussian density on ``points`` grid points over [min, max], Scott bandwidth.
+    """Gaussian density on ``points`` grid points over [min, max], Scott bandwidth h.
+
+    A fast Gauss transform: with boxes one bandwidth wide, t = (v - centre) / h
+    and u = (x - centre) / h,
 
-    Rows are first collapsed to (value, count) with partial aggregation, so
-    the kernel work grows with the distinct values, not the rows; each value
-    adds its weighted kernel to every grid point and the per-point sums are
-    again partially aggregated (``points`` groups).  A column that is empty or
-    constant has no density: no rows.
+        exp(-(u - t)^2 / 2) = exp(-u^2 / 2) * sum over k of He_k(u) t^k / k!,
+
+    He_k being Hermite polynomials, so a box is known by its moments, the sums of t^k.  One
+    aggregation with partial sums makes them: what is shuffled is bounded by
+    boxes times tasks, and boxes times reach is then a few thousand kernel
+    values whatever the data.  As |t| <= 1/2 and |He_k(u)| exp(-u^2 / 4) <= 1.09 sqrt(k!),
+    the terms left out are below 1e-16 of a kernel, and so are kernels further than
+    ``KDE_REACH`` bandwidths away.  A column that is empty or constant has no density: no rows.
     """
     st = df.agg(F.count(c).alias("n"), F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
                 F.stddev_samp(c).alias("std")).first()
@@ -128,13 +138,25 @@ def kde(df: DataFrame, c: str = LABEL, points: int = GRID_POINTS) -> DataFrame:
     h = std * n ** (-0.2)
     step = (hi - lo) / (points - 1)
     norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
-    vc = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("w"))
+    place = (F.col(c).cast("double") - F.lit(lo)) / F.lit(h)
+    cells = df.filter(F.col(c).isNotNull()).select(F.floor(place).alias("box"), (place - F.floor(place) - F.lit(0.5)).alias("t"))
+    moments = cells.groupBy("box").agg(*[F.sum(F.pow("t", F.lit(float(k))) if k else F.lit(1.0)).alias(f"m{k}") for k in range(KDE_TERMS)])
+    scaled = F.array(*[F.col(f"m{k}") / F.lit(float(math.factorial(k))) for k in range(KDE_TERMS)])
+    centre = F.lit(lo) + (F.col("box") + F.lit(0.5)) * F.lit(h)
+    at = lambda x: F.least(F.greatest(x, F.lit(0)), F.lit(points - 1)).cast("int")
+    first, last = at(F.floor((centre - F.lit(lo + KDE_REACH * h)) / F.lit(step))), at(F.ceil((centre - F.lit(lo - KDE_REACH * h)) / F.lit(step)))
+    near = moments.select(centre.alias("centre"), scaled.alias("m"), F.explode(F.sequence(first, last)).alias("j"))
     x = F.lit(lo) + F.col("j") * F.lit(step)
-    contrib = vc.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("j"))
-    z = (x - F.col("v")) / F.lit(h)
-    return (contrib.groupBy("j").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
-                   .select(F.col("j").cast("int").alias("j"), x.alias("x"), (F.col("s") * F.lit(norm)).alias("density")))
+    near = near.withColumn("u", (x - F.col("centre")) / F.lit(h))
+    # He_(k+1)(u) = u He_k(u) - k He_(k-1)(u)
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("before"), F.lit(1.0).alias("he"), F.lit(0.0).alias("k"))
+    series = F.aggregate("m", start, lambda a, m: F.struct(
+        (a["sum"] + a["he"] * m).alias("sum"), a["he"].alias("before"), (F.col("u") * a["he"] - a["k"] * a["before"]).alias("he"), (a["k"] + 1.0).alias("k")))
+    kernel = F.exp(F.lit(-0.5) * F.col("u") * F.col("u")) * series["sum"]
+    sums = near.groupBy("j").agg(F.sum(kernel).alias("s"))
+    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("j"))
+    density = F.greatest(F.coalesce("s", F.lit(0.0)), F.lit(0.0)) * F.lit(norm)
+    return grid.join(F.broadcast(sums), "j", "left").select("j", x.alias("x"), density.alias("density"))  # at most ``points`` rows
 
 
 def box_stats(df: DataFrame, c: str = LABEL, by: str | None = None, exact: bool = True) -> DataFrame:
@@ -191,21 +213,67 @@ def category_counts(df: DataFrame, columns=PROFILE_CATEGORIES) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+#: Counters of the summary behind a top-k list, and how many of its items are counted exactly.
+COUNTERS, CANDIDATES = 1 << 16, 1_000
+
+
 def top_categories(df: DataFrame, column: str, k: int = TOP_K_CATEGORIES) -> DataFrame:
-    """The k most frequent values of ``column`` (ties by value), top-k per task then merged."""
-    return (df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-              .orderBy(F.desc("n"), F.asc(column)).limit(k))
+    """The k most frequent values of ``column`` (ties by value)."""
+    return top_categories_per_column(df, [column], k).select(F.col("value").alias(column), "n")
 
 
 def top_categories_per_column(df: DataFrame, columns=PROFILE_CATEGORIES, k: int = TOP_K_CATEGORIES,
                               buckets: int = 64) -> DataFrame:
-    """``(column_name, value, n, rank)``: the k most frequent values of each column.
-
-    One value-count aggregation, then an exact two-level top-k: first the k
-    best of each (column, hash bucket of the value), then the k best of the
-    at most ``k × buckets`` survivors per column.  No task ever ranks a whole
-    column vocabulary, and the counts are computed once for all columns.
+    """``(column_name, value, n, rank)``: the k most frequent values of each column, exactly.
+
+    A first pass keeps a summary of ``COUNTERS`` counters a column, merged over
+    tasks, whose counts are off by at most 3.5 / COUNTERS of the rows.  Its ``CANDIDATES`` first
+    items are counted exactly in a second pass.  If the k-th best
+    of them beats what any other value can have (the least estimate among the
+    candidates plus twice that error), the list is proved right, and a
+    vocabulary that grows with the data is never shuffled.  Where a column fails that
+    proof (flat counts over a large vocabulary) all its values are counted; the result is the same.
     """
+    k = int(k)
+    text = {c: F.col(f"`{c}`").cast("string") for c in columns}
+    items = max(CANDIDATES, 2 * k)
+    summary = df.select(*[text[c].alias(f"c{i}") for i, c in enumerate(columns)]).agg(
+        *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(columns))],
+        *[F.expr(f"approx_top_k(c{i}, {items}, {max(COUNTERS, items)})").alias(f"t{i}") for i in range(len(columns))]).first()
+    spark, candidates, limits = df.sparkSession, [], {}
+    for i, c in enumerate(columns):
+        found = [r for r in summary[f"t{i}"] if r["item"] is not None]
+        error = math.ceil(3.5 * summary[f"n{i}"] / max(COUNTERS, items))
+        limits[c] = error + (min(r["count"] for r in found) + error if len(found) >= items - 1 else 0)
+        candidates += [(c, r["item"]) for r in found]
+    if not candidates:
+        return spark.createDataFrame([], "column_name string, value string, n bigint, rank int")
+    known = spark.createDataFrame(candidates, "column_name string, value string")
+    exact = _cells(df, columns).join(F.broadcast(known), ["column_name", "value"], "left_semi").groupBy("column_name", "value").agg(  # bounded by CANDIDATES
+        F.count(F.lit(1)).cast("bigint").alias("n"))
+    rows = {}
+    for r in exact.collect():
+        rows.setdefault(r.column_name, []).append((r.column_name, r.value, r.n))
+    proved, open_columns = [], []
+    for c in columns:
+        best = sorted(rows.get(c, []), key=lambda r: (-r[2], r[1].encode()))[:k]
+        complete = limits[c] == 0 or (len(best) == k and best[-1][2] > limits[c])
+        if complete:
+            proved += [(*r, j) for j, r in enumerate(best, 1)]
+        else:
+            open_columns.append(c)
+    out = spark.createDataFrame(proved, "column_name string, value string, n bigint, rank int")
+    return out.unionByName(_top_of_all_values(df, open_columns, k, buckets)) if open_columns else out
+
+
+def _cells(df: DataFrame, columns) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+    return df.select(F.explode(pairs).alias("c")).select("c.column_name", "c.value").where("value is not null")
+
+
+def _top_of_all_values(df: DataFrame, columns, k: int, buckets: int) -> DataFrame:
+    """The same from a count of every value: the k best of each (column, hash bucket), then the k best of
+    the at most ``k × buckets`` survivors per column, so no task ever ranks a whole vocabulary."""
     from pyspark.sql import Window
     counts = category_counts(df, columns)
     order = [F.desc("n"), F.asc("value")]

@@ -198,14 +198,14 @@ def q_importance_of_stump(spark, sf_dir):
 
 @register("train_job_by_year", with_listings(_COMPARED + """
 , best AS (SELECT model FROM compared WHERE model_order < 2 ORDER BY rmse, model_order LIMIT 1)
-SELECT compared.*, 'base' AS final, model = (SELECT model FROM best) AS chosen FROM compared WHERE model_order < 2"""))
+SELECT compared.*, 'base' AS final, true AS dated, model = (SELECT model FROM best) AS chosen FROM compared WHERE model_order < 2"""))
 def q_train_job_by_year(spark, sf_dir):
     """The training job on Year alone, stored as a run and read back through its manifest."""
     out = f"{artifact_dir(spark, 'train_job_by_year')}/{uuid.uuid4().hex}"
     own = {"Linear Regression": dict(solver="normal", regParam=0.0), "Random Forest": ONE_TREE}
     train_job(clean(spark, sf_dir).select(ID, "Year", LABEL), out, families=list(own), tune=False, versioned=True, save_clean=False, **own)
     run = stored_run(spark, out)
-    return _rounded(run).join(run.select("model", "final", "chosen"), "model")
+    return _rounded(run).join(run.select("model", "final", "dated", "chosen"), "model")
 
 
 def _mean_per_year(spark, sf_dir):

@@ -54,6 +54,16 @@ def q_cast_year_age(spark, sf_dir):
                       derive_age(F.lit(None), to_int("Year")).alias("Age"))
 
 
+@register("given_age", with_listings("""
+SELECT listing_id, Year, CAST(coalesce(TRY_CAST(CASE length(model) % 3 WHEN 0 THEN CAST(length(model) AS VARCHAR) WHEN 1 THEN 'unknown' END AS INTEGER), 2025 - Year)
+ AS INTEGER) AS Age FROM clean"""))
+def q_given_age(spark, sf_dir):
+    """Cleaning of listings some of which give their age, as a number or as bad text: a usable one is kept, others follow from Year."""
+    n = F.length("model")
+    raw = raw_listings(spark, sf_dir).withColumn("Age", F.when(n % 3 == 0, n.cast("string")).when(n % 3 == 1, F.lit("unknown")))
+    return clean_listings(raw).select(ID, "Year", "Age")
+
+
 @register("drop_null_critical", with_listings("""
 SELECT CAST(count(*) AS BIGINT) AS n_raw,
  CAST(count(*) FILTER (WHERE Brand IS NULL) AS BIGINT) AS null_brand,

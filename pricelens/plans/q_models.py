@@ -267,7 +267,8 @@ def q_train_job(spark, sf_dir):
 
 def stored_run(spark, out):
     """The metrics table of a store's newest run, with the model that its manifest names."""
-    names = manifests(spark, out).orderBy(F.desc("version")).limit(1).select("model_name", F.col("choice").alias("final"))
+    names = manifests(spark, out).orderBy(F.desc("version")).limit(1).select("model_name", F.col("choice").alias("final"),
+                                                                                    F.col("creation_date").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$").alias("dated"))
     metrics = spark.read.parquet(f"{current_path(spark, out)}/{METRICS_DIR}").drop("fit_seconds")
     return metrics.join(F.broadcast(names), F.lit(True)).withColumn("chosen", F.col("model") == F.col("model_name")).drop("model_name")
 

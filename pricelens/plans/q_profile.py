@@ -120,6 +120,20 @@ def q_price_box_by_brand(spark, sf_dir):
     return _box_out(box_stats(kept, LABEL, by="Brand"), ["Brand"])
 
 
+def _box_by(column):
+    """Register the box statistics of the price per value of one more category."""
+    @register(f"price_box_by_{column.lower()}", with_listings("WITH " + _BOX_SQL.format(
+        key=f"{column},", src="clean", group=f"GROUP BY {column}", fkey=f"f.{column},", on=f"s.{column} = f.{column}")))
+    def query(spark, sf_dir):
+        kept = keep_top_categories(materialized(spark, sf_dir, [column, LABEL]), column)
+        return _box_out(box_stats(kept, LABEL, by=column), [column])
+    query.__doc__ = f"Box statistics of the price per {column} (no more than ten values)."
+
+
+for _column in PROFILE_CATEGORIES[1:]:
+    _box_by(_column)
+
+
 # --- relationships ----------------------------------------------------------
 
 @register("price_by_year", with_listings(f"""
@@ -175,6 +189,19 @@ def q_top10_categories(spark, sf_dir):
     return top_categories_per_column(clean(spark, sf_dir), PROFILE_CATEGORIES, TOP_K_CATEGORIES)
 
 
+_LONG_TEXTS = ["AdditionInfo", "model", "PostedDate"]
+_LONG_SQL = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM clean WHERE {c} IS NOT NULL GROUP BY {c}" for c in _LONG_TEXTS)
+
+
+@register("top10_free_texts", with_listings(f"""
+SELECT column_name, value, CAST(n AS BIGINT) AS n, CAST(rnk AS INTEGER) AS rank FROM (
+ SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS rnk FROM ({_LONG_SQL}) c) r
+WHERE rnk <= {TOP_K_CATEGORIES}"""))
+def q_top10_free_texts(spark, sf_dir):
+    """The ten most frequent values of the columns whose vocabulary grows with the data."""
+    return top_categories_per_column(clean(spark, sf_dir), _LONG_TEXTS, TOP_K_CATEGORIES)
+
+
 @register("top10_filter", with_listings(
     "WITH " + _TOP_BRANDS_SQL + "\nSELECT listing_id, Brand, AskPrice FROM kept"))
 def q_top10_filter(spark, sf_dir):

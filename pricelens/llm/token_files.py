@@ -18,7 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import pick, row_slices, text_encoder
+from .common import pick, row_slices
+from .encode import byte_slices, texts_encoder
 
 SAMPLED = 64
 
@@ -86,7 +87,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id
     placed = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def run(batches):
-        encode, part, before = text_encoder(tokenizer, special_as_text=False), TaskContext.get().partitionId(), 0
+        encode, part, before, end = texts_encoder(tokenizer), TaskContext.get().partitionId(), 0, np.array([end_id], "<u4")
         doc_ids, chunks, held = [], [], 0
 
         def block():
@@ -99,9 +100,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id
                    "doc_ids": doc_ids, "ids": ids.astype(f"<u{id_bytes}").tobytes(), **code}
             return pa.RecordBatch.from_pylist([row], schema=BLOCK)
 
-        for b in row_slices(batches):
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.append(np.frombuffer(encode(text or ""), "<u4"), np.uint32(end_id))
+        for b in byte_slices(batches, 1):
+            for doc, own in zip(b.column(0).to_pylist(), encode(b.column(1))):
+                ids = np.concatenate([own, end])
                 doc_ids.append(doc)
                 chunks.append(ids)
                 held += len(ids)

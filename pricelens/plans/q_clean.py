@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import clean_numeric, derive_age, strip_currency, to_int
-from ..operators.clean import column_kinds
+from ..operators.clean import clean_listings, column_kinds
 from ..oracles import with_listings
 from ..registry import register
 from ..schema import ID, TRAIN_DEFAULTS
@@ -174,7 +174,6 @@ def q_raw_csv_roundtrip(spark, sf_dir):
     fixed schema (no inference pass), then cleaned."""
     from ..sources.artifacts import run_dir
     from ..sources.listings import read_raw_csv
-    from ..operators.clean import clean_listings
     path = run_dir(spark, "raw_listings_csv")
     raw_listings(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
     return clean_listings(read_raw_csv(spark, path))

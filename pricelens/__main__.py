@@ -31,7 +31,7 @@ def main(argv=None) -> int:
     from .operators.clean import clean_listings
     from .plans.score import score_from_saved
     from .plans.train import train
-    from .session import SESSION_DEFAULTS, ensure_checkpoint_dir
+    from .session import SESSION_DEFAULTS, ensure_checkpoint_dir, size_session
     from .sources.listings import read_raw_csv
 
     builder = SparkSession.builder.appName("pricelens")
@@ -39,6 +39,8 @@ def main(argv=None) -> int:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    if a.data:
+        size_session(spark, a.data)
 
     if a.mode in ("train", "both"):
         if not a.data:

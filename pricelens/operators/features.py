@@ -105,10 +105,17 @@ def prepare(clean: DataFrame, profile: str = "narrow", train_tenths: int = 8,
 
 
 def vector_long(df: DataFrame, vec_col: str, id_col: str = ID, keep_zeros: bool = False) -> DataFrame:
-    """Explode a vector column into ``(id, idx, value)`` rows (non-zeros only)."""
-    out = df.select(id_col, F.posexplode(vector_to_array(vec_col)).alias("idx", "value"))
-    out = out.select(id_col, F.col("idx").cast("int").alias("idx"), "value")
-    return out if keep_zeros else out.filter(F.col("value") != 0.0)
+    """Explode a vector column into ``(id, idx, value)`` rows (non-zeros only).
+
+    A sparse vector's places are taken as they are stored; only ``keep_zeros`` spreads them out.
+    """
+    if keep_zeros:
+        out = df.select(id_col, F.posexplode(vector_to_array(vec_col)).alias("idx", "value"))
+        return out.select(id_col, F.col("idx").cast("int").alias("idx"), "value")
+    raw = F.unwrap_udt(F.col(vec_col))
+    places = F.when(raw["type"] == 0, raw["indices"]).when(F.size(raw["values"]) > 0, F.sequence(F.lit(0), F.size(raw["values"]) - 1))
+    out = df.select(id_col, F.explode(F.arrays_zip(places.alias("idx"), raw["values"].alias("value"))).alias("z"))
+    return out.select(id_col, F.col("z.idx").cast("int").alias("idx"), F.col("z.value").alias("value")).filter(F.col("value") != 0.0)
 
 
 def feature_names(df: DataFrame, vec_col: str = FEATURES) -> list[str]:

@@ -40,7 +40,7 @@ def describe_numeric(df: DataFrame, columns, exact: bool = True) -> DataFrame:
         aggs += [F.count(c).cast("bigint").alias(f"n{i}"), F.avg(c).alias(f"m{i}"),
                  F.stddev_samp(c).alias(f"s{i}"), F.min(c).cast("double").alias(f"lo{i}"),
                  F.max(c).cast("double").alias(f"hi{i}")]
-        if exact:
+        if not exact:
             aggs.append(_approx_quantiles(c, QUARTILES).alias(f"q{i}"))
     wide = df.agg(*aggs)
     if not exact:
@@ -62,17 +62,14 @@ def describe_numeric(df: DataFrame, columns, exact: bool = True) -> DataFrame:
 
 def distribution_stats(df: DataFrame, c: str, exact: bool = True) -> dict:
     """n, min, max, stddev and quartiles of one column (small rows to the driver)."""
-    extra = [] if exact else [_approx_quantiles(c, QUARTILES).alias("q")]
-    r = df.agg(F.count(c).alias("n"), F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
-               F.stddev_samp(c).alias("std"), *extra).first()
-    if not r["n"]:
-        q = [None, None, None]
-    elif exact:
-        got = {row["p"]: row["value"] for row in exact_quantiles(df, c, QUARTILES).collect()}
-        q = [got[p] for p in QUARTILES]
-    else:
-        q = r["q"]
-    return dict(n=r["n"], lo=r["lo"], hi=r["hi"], std=r["std"], q1=q[0], q2=q[1], q3=q[2])
+    return distribution_stats_of(df, [c], exact)[0]
+
+
+def distribution_stats_of(df: DataFrame, columns, exact: bool = True) -> list[dict]:
+    """The same of several columns, all from one aggregation and one quantile computation."""
+    rows = {r["column_name"]: r for r in describe_numeric(df, columns, exact).collect()}
+    names = dict(n="count", lo="min", hi="max", std="std", q1="p25", q2="p50", q3="p75")
+    return [{k: rows[c][v] for k, v in names.items()} for c in columns]
 
 
 def auto_bins(st: dict) -> int:
@@ -308,13 +305,13 @@ def numeric_relation(df: DataFrame, y: str, xs) -> DataFrame:
 def binned_2d(df: DataFrame, x: str, y: str = LABEL, x_bins: int | None = None, y_bins: int | None = None,
               discrete_x: bool = False) -> DataFrame:
     """Scatter as counts per (x bin, y bin); a discrete x keeps its own values."""
-    sy = distribution_stats(df, y)
+    sy, *others = distribution_stats_of(df, [y] if discrete_x else [y, x])
     ky = y_bins or auto_bins(sy)
     cols = [bin_index(y, sy["lo"], sy["hi"], ky).alias("y_bin")]
     if discrete_x:
         xcol = F.col(x).alias(x)
     else:
-        sx = distribution_stats(df, x)
+        sx = others[0]
         xcol = bin_index(x, sx["lo"], sx["hi"], x_bins or auto_bins(sx)).alias("x_bin")
     return df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(xcol, *cols).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"))

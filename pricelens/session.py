@@ -48,6 +48,27 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
     }
 
 
+def input_size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files at a path or glob; 0 where there are none."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(hpath) or [])
+
+
+def size_session(spark: SparkSession, path: str, partition_bytes: int = 256 << 20) -> dict:
+    """Size a running session's scans and shuffles for a job that reads ``path``.
+
+    Never below what the session has already, so a small input leaves it as it is.
+    """
+    parts = -(-input_size(spark, path) // partition_bytes)
+    if parts <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return {}
+    settings = scale_settings(parts * partition_bytes, partition_bytes)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings
+
+
 def build_session(master: str = "local[*]", app_name: str = "pricelens",
                   shuffle_partitions: int = 8, driver_memory: str = "8g",
                   input_bytes: int | None = None) -> SparkSession:

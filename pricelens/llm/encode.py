@@ -37,9 +37,10 @@ class TextsEncoder:
     """Ids of texts as the library's plain call makes them (``add_special_tokens=False``), one array a text."""
 
     def __init__(self, path: str):
-        self.one = text_encoder(path, special_as_text=False)
         from tokenizers import Tokenizer
 
+        self.path = path
+
         tok = Tokenizer.from_file(path)
         added = tok.get_added_tokens_decoder().values()
         self.named = [t.content for t in added]
@@ -52,7 +53,7 @@ class TextsEncoder:
         self.begins[[i for t, i in vocab.items() if t[0] == space]] = True
         self.side_by_side = self.byte_level and not self.lower and not any(space in t.lstrip(space) for t in vocab)
         self.marks = WordIds(lambda m: packed([t.id for t in self.model.tokenize(m)]), 10_000)
-        self.words = WordIds(self._other_ids, 250_000)
+        self.words = WordIds(self._other_ids, 200_000)
 
     def _other_ids(self, piece: str) -> bytes:
         if piece[0] == FIRST:
@@ -113,7 +114,7 @@ class TextsEncoder:
             return []
         texts = pc.fill_null(texts, "")
         odd = self._odd(texts)
-        whole = {int(i): np.frombuffer(self.one(texts[int(i)].as_py()), "<u4") for i in np.flatnonzero(odd)}
+        whole = {int(i): np.frombuffer(text_encoder(self.path, special_as_text=False)(texts[int(i)].as_py()), "<u4") for i in np.flatnonzero(odd)}
         if whole:
             texts = pc.if_else(pa.array(odd), "", texts)
         marked = pc.binary_join_element_wise(FIRST, pc.replace_substring(texts, "\n", " \n"), "")

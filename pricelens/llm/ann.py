@@ -90,43 +90,58 @@ class KdTree:
         self.begin, self.end = np.array([r[0] for r in runs]), np.array([r[1] for r in runs])
         self.low, self.high = np.array([r[2] for r in runs]), np.array([r[3] for r in runs])
 
-    def box_distances(self, q: np.ndarray) -> np.ndarray:
-        """Squared distance of ``q`` to the box of each leaf."""
-        gap = np.maximum(self.low - q, 0) + np.maximum(q - self.high, 0)
-        return (gap * gap).sum(axis=1)
-
-
 def incremental_search(tree: KdTree, proj: np.ndarray, vecs: np.ndarray, first: np.ndarray, q_proj: np.ndarray, q: np.ndarray,
-                       k: int, reach: float, offset: float, kth: float) -> list[tuple[float, int]]:
-    """The k best (score, row) found among the rows of a block.
+                       k: int, reach: float, offset: np.ndarray, kth: np.ndarray, at_once: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the k best rows found among those of a block, for many queries at a time, best first.
 
-    Leaves are taken outwards from the query in projected space and their
-    points verified by the exact inner product; the search ends once the next
+    Each query takes leaves outwards from its place in projected space, ``at_once``
+    a step, and its points there are verified by the exact inner product; its search ends once its next
     leaf lies beyond the radius at which the stopping test holds for the k-th
     best score known (``kth``, from elsewhere, or found here).  The squared
     distance of a score s is offset - 2 s; the test's radius squared is
-    ``reach`` times that.  Ties go to the smaller id (``first``).
+    ``reach`` times that.  Ties go to the smaller id (``first``).  In a step, the
+    queries that take the same leaf share matrix products: of projections, for
+    the distances, and of vectors, for scores that can still count; those that do are then computed exactly.
     """
-    away = tree.box_distances(q_proj)
-    best_scores, best_rows = np.empty(0), np.empty(0, dtype=np.int64)
-    stop = reach * max(0.0, offset - 2 * kth)
-    at, leaves = 0, np.argsort(away, kind="stable")
-    while at < len(leaves) and away[leaves[at]] <= stop:
-        rows = np.concatenate([tree.order[tree.begin[x]:tree.end[x]] for x in leaves[at:at + 4]])
-        gap = proj[rows] - q_proj
-        rows = rows[(gap * gap).sum(axis=1) <= stop]
-        at += 4
-        if not len(rows):
-            continue
-        best_scores = np.concatenate([best_scores, (vecs[rows] * q).sum(axis=1)])
-        best_rows = np.concatenate([best_rows, rows])
-        if len(best_rows) > k:
-            keep = np.lexsort((first[best_rows], -best_scores))[:k]
-            best_scores, best_rows = best_scores[keep], best_rows[keep]
-        if len(best_rows) >= k:
-            kth = max(kth, float(best_scores.min()))
-            stop = reach * max(0.0, offset - 2 * kth)
-    return list(zip(best_scores.tolist(), best_rows.tolist()))
+    away = np.stack([(np.maximum(lo - q_proj, 0) + np.maximum(q_proj - hi, 0)) ** 2 for lo, hi in zip(tree.low, tree.high)], 1).sum(axis=2)
+    order = np.argsort(away, axis=1, kind="stable")
+    kth = kth.copy()
+    stop = reach * np.maximum(0.0, offset - 2 * kth)
+    q_norm, p_norm = (q_proj * q_proj).sum(axis=1), (proj * proj).sum(axis=1)
+    slack = 1e-9 * (1.0 + np.abs(q).max(initial=0.0) * np.abs(vecs).max(initial=0.0) * vecs.shape[1])
+    near = 1e-9 * (1.0 + q_norm.max(initial=0.0) + p_norm.max(initial=0.0))
+    best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    active = np.arange(len(q))
+    for step in range(0, len(tree.begin), at_once):
+        active = active[away[active, order[active, step]] <= stop[active]]
+        if not len(active):
+            break
+        taken, found = order[active, step:step + at_once], [best]
+        for leaf in np.unique(taken):
+            who = active[(taken == leaf).any(axis=1)]
+            rows = tree.order[tree.begin[leaf]:tree.end[leaf]]
+            gap = q_norm[who, None] + p_norm[rows][None, :] - 2 * (q_proj[who] @ proj[rows].T)
+            good = (gap <= stop[who, None] + near) & (q[who] @ vecs[rows].T >= kth[who, None] - slack)
+            a, b = np.nonzero(good)
+            if len(a):
+                a, b = who[a], rows[b]
+                found.append([a, b, (vecs[b] * q[a]).sum(axis=1)])
+        if len(found) > 1:
+            best = _k_best(*[np.concatenate(x) for x in zip(*found)], first, k)
+            count = np.bincount(best[0], minlength=len(q))
+            full = np.flatnonzero(count >= k)
+            kth[full] = np.maximum(kth[full], best[2][np.cumsum(count)[full] - 1])
+            stop = reach * np.maximum(0.0, offset - 2 * kth)
+    return tuple(best)
+
+
+def _k_best(query: np.ndarray, row: np.ndarray, score: np.ndarray, first: np.ndarray, k: int) -> list[np.ndarray]:
+    """The k best of each query, in the order of (query, score descending, id)."""
+    order = np.lexsort((first[row], -score, query))
+    query, row, score = query[order], row[order], score[order]
+    begin = np.searchsorted(query, query, "left")
+    keep = np.arange(len(query)) - begin < k
+    return [query[keep], row[keep], score[keep]]
 
 
 def usable_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -138,7 +153,7 @@ def usable_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "e
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, dims: int = 12, sure: float = 0.97, block: int = 4_096,
-            queries_at_once: int = 2_048, sample: int = 20_000) -> DataFrame:
+            queries_at_once: int = 8_192, sample: int = 20_000) -> DataFrame:
     """query_id, rank, vec_id, score: for each id divisible by ``every`` its k rows of largest inner product.
 
     Vectors that are null, zero or hold a null, NaN or infinity take no part,
@@ -202,30 +217,25 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, dims: int = 12, su
     parts = max(1, math.ceil(1.25 * queries.count() / queries_at_once))
     queries = queries.withColumn("part", F.pmod(F.hash("point", F.lit(2)), F.lit(parts)).cast("long"))
 
-    def search(only_kth: bool):
-        def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            out = []
-            if len(left) and len(right):
-                vecs, proj = np.array(right["vec"].tolist()), np.array(right["proj"].tolist())
-                first, point = right["first"].to_numpy(), right["point"].to_numpy()
-                tree = KdTree(proj)
-                for asked, vec, q_proj, kth in zip(left["point"], left["vec"], left["proj"], left["kth"]):
-                    q = np.asarray(vec)
-                    found = incremental_search(tree, proj, vecs, first, np.asarray(q_proj), q, k + 1, reach, longest + float(q @ q), kth)
-                    if not only_kth:
-                        out += [(asked, int(point[r]), int(first[r]), s) for s, r in found]
-                    elif len(found) > k:
-                        out.append((asked, 0, 0, min(s for s, _ in found)))
-            return pd.DataFrame(out, columns=["point", "hit", "first", "score"])
-        return run
-
-    def met(queries: DataFrame, targets: DataFrame, keys: list[str], only_kth: bool) -> DataFrame:
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if len(left) and len(right):
+            vecs, proj = np.array(right["vec"].tolist()), np.array(right["proj"].tolist())
+            first, point = right["first"].to_numpy(), right["point"].to_numpy()
+            qs, q_proj = np.array(left["vec"].tolist()), np.array(left["proj"].tolist())
+            asked = left["point"].to_numpy()
+            query, row, score = incremental_search(KdTree(proj), proj, vecs, first, q_proj, qs, k + 1, reach, longest + (qs * qs).sum(axis=1),
+                                                   left["kth"].to_numpy(float))
+            return pd.DataFrame({"point": asked[query], "hit": point[row], "first": first[row], "score": score})
+        return pd.DataFrame({"point": [], "hit": [], "first": [], "score": []})
+
+    def met(queries: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
         """Every block of points, with the queries sent there, searched as one group."""
-        return queries.groupBy(*keys).cogroup(targets.groupBy(*keys)).applyInPandas(search(only_kth), "point long, hit long, first long, score double")
+        return queries.groupBy(*keys).cogroup(targets.groupBy(*keys)).applyInPandas(search, "point long, hit long, first long, score double")
 
     none = F.lit(float("-inf"))
     home = queries.withColumn("block", block_of(3)).withColumn("kth", none)
-    bounds = written(met(home, placed, ["leaf", "block"], True).groupBy("point").agg(F.max("score").alias("kth")))
+    at_home = written(met(home, placed, ["leaf", "block"]))
+    bounds = at_home.groupBy("point").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") > k).select("point", "kth")
 
     def route(batches):
         for b in batches:
@@ -239,7 +249,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, dims: int = 12, su
     number = lambda most: F.sequence(F.lit(0).cast("long"), F.lit(most - 1).cast("long"))
     routed = queries.select("point", "vec", "proj", "part").join(bounds, "point", "left").withColumn("kth", F.coalesce("kth", none)) \
         .mapInArrow(route, plain + ", to array<long>").withColumn("leaf", F.explode("to")).drop("to").withColumn("block", F.explode(number(blocks)))
-    found = met(routed, placed.withColumn("part", F.explode(number(parts))), ["leaf", "block", "part"], False)
+    found = met(routed, placed.withColumn("part", F.explode(number(parts))), ["leaf", "block", "part"])
+    found = found.union(at_home).distinct()
     best = Window.partitionBy("point").orderBy(F.desc("score"), "first")
     top = written(found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).select("point", "hit", "score"))
 

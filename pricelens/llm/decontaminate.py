@@ -28,15 +28,15 @@ def windows_of(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))]
 
 
-def item_windows(items: DataFrame, size: int, unnamed: bool = False) -> DataFrame:
-    """Distinct (win, item_id); rows with a null text, or without words, have none, nor, but for ``unnamed``, those with a null id."""
+def item_windows(items: DataFrame, size: int) -> DataFrame:
+    """Distinct (win, item_id), the id null where the item has none; rows with a null text, or without words, have no windows."""
     arrow = pa.schema([("win", pa.binary()), ("item_id", pa.string())])
 
     def run(b: pa.RecordBatch) -> dict:
         pairs = [(w, i) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w in windows_of(words_of(t), size)]
         return {"win": [w for w, _ in pairs], "item_id": [i for _, i in pairs]}
 
-    rows = pick(items, "item_id", "text").dropna(subset=["text"] if unnamed else ["item_id", "text"]).select(F.col("item_id").cast("string"), "text")
+    rows = pick(items, "item_id", "text").dropna(subset=["text"]).select(F.col("item_id").cast("string"), "text")
     return map_slices(rows, run, "win binary, item_id string", arrow).distinct()
 
 
@@ -76,14 +76,14 @@ def prefix_index(pairs: list[tuple[bytes, str]], counts: dict[bytes, int]) -> di
 
 
 def match(words: list[bytes], index: dict[bytes, list]) -> tuple[list[tuple[int, int]], set[str]]:
-    """Word ranges [from, to) of all window occurrences, and the items they belong to."""
+    """Word ranges [from, to) of all window occurrences, and the ids of the items they belong to (an item may have none)."""
     ranges, items, n = [], set(), len(words)
     for pos in [i for i, w in enumerate(words) if w in index]:
         for at, size, window, ids in index[words[pos]]:
             start = pos - at
             if 0 <= start <= n - size and words[start:start + size] == window:
                 ranges.append((start, start + size))
-                items.update(ids)
+                items.update(i for i in ids if i is not None)
     return ranges, items
 
 
@@ -96,9 +96,9 @@ def covered(ranges: list[tuple[int, int]]) -> int:
     return total
 
 
-def index_blocks(docs: DataFrame, items: DataFrame, size: int, block: int, unnamed: bool = False) -> list:
+def index_blocks(docs: DataFrame, items: DataFrame, size: int, block: int) -> list:
     """The prefix index of all items as broadcasts of about ``block`` (window, item) pairs each; at least one."""
-    pairs = written(item_windows(items, size, unnamed))
+    pairs = written(item_windows(items, size))
     blocks = max(1, -(-pairs.count() // block))
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("win"), F.lit(blocks)))
     out = []
@@ -117,7 +117,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, block: int
     Python worker holds, and every block meets every document, so any number
     of items is handled and each broadcast has a bound.  Documents are never
     shuffled.  Null texts have no words; repeated documents count each, and an
-    item id once per document; null ids stay null.  Without items nothing is
+    item id once per document; null ids stay null.  An item without an id is
+    matched like any other, but not among n_items.  Without items nothing is
     contaminated.
     """
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
@@ -154,10 +155,10 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, block: int
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, block: int = 200_000) -> DataFrame:
     """``docs`` without the rows in which an item window occurs; columns unchanged, clean rows untouched.
 
-    Which item it is doesn't matter here: those with a null id count as well.
+    Which item it is doesn't matter here.
     """
     at, kept = docs.columns.index("text"), docs
-    for shared in index_blocks(docs, items, size, block, unnamed=True):
+    for shared in index_blocks(docs, items, size, block):
         def run(batches, shared=shared):
             for b in row_slices(batches):
                 clean = [not match(words_of(t), shared.value)[0] for t in b.column(at).to_pylist()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Normalizer
@@ -20,25 +22,50 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 
-#: The small labelled table the model is trained on: 1 = unwanted.
-LABELLED = [
-    ("https://www.cheap-pills.example.com/en/450?page=2", 1), ("http://cheap-pills.example.net/fr/12", 1),
-    ("https://spam-farm.example.org/en/728", 1), ("http://blog.spam-farm.example.net/de/31.html", 1),
-    ("https://www.casino-bonus.example.com/en/7", 1), ("http://casino.win-big.example.net/es/81/", 1),
-    ("https://adult-cams.example.com/en/90", 1), ("http://xxx-videos.example.net/fr/6", 1),
-    ("https://free-viagra.example.com/en/3", 1), ("http://pills-online.example.net/en/55#top", 1),
-    ("https://click-farm.example.net/de/9", 1), ("http://link-spam.example.com/en/401", 1),
-    ("https://payday-loans.example.com/en/77", 1), ("http://cheap-replica.example.net/es/4", 1),
-    ("https://malware-download.example.com/en/crack/9", 1), ("http://phishing-login.example.net/en/verify", 1),
-    ("https://www.thertion.example.com/en/450?page=2", 0), ("http://blog.thering.example.net/fr/12", 0),
-    ("https://thther.example.net/en/728", 0), ("http://m.ththed.example.net/de/31.html", 0),
-    ("https://www.therou.example.com/en/7", 0), ("http://blog.ththan.example.net/es/81/", 0),
-    ("https://therat.example.com/en/90", 0), ("http://news.example.net/fr/6", 0),
-    ("https://library.example.com/en/3", 0), ("http://docs.example.net/en/55#top", 0),
-    ("https://university.example.net/de/9", 0), ("http://recipes.example.com/en/401", 0),
-    ("https://travel.example.com/en/77", 0), ("http://museum.example.net/es/4", 0),
-    ("https://weather.example.com/en/today/9", 0), ("http://www.therestion.example.net/en/science", 0),
-]
+#: Words that name what is unwanted on the web, and words of ordinary sites.
+UNWANTED = ("casino poker betting jackpot slots lottery bonus gamble roulette wager viagra cialis pills pharmacy steroid diet detox keto miracle adult "
+            "porn xxx sex cams escort nude dating hookup spam farm linkfarm backlinks clickbait traffic replica fake counterfeit knockoff cheap "
+            "discount free payday loan credit debt crypto airdrop giveaway prize winner malware crack keygen warez torrent pirate phishing hack "
+            "botnet exploit ransom scam ads adserver tracker banner popup bets win").split()
+ORDINARY = ("library university school college museum archive history science physics biology chemistry medicine health hospital weather climate "
+            "news journal daily times herald gazette review sports football cricket tennis travel hotel flights maps railway airport city "
+            "council government parliament court police recipes kitchen garden cooking bakery coffee music concert theatre cinema film books "
+            "poetry novel language grammar dictionary software docs support developer code forum community wiki blog photo gallery design "
+            "fashion furniture cars bicycle repair market shop books bank insurance energy water forest river mountain island animals birds "
+            "family children parents jobs career training course events calendar").split()
+#: Parts that say nothing, on either side of the table.
+FRONTS, ENDS = ("", "www.", "m.", "blog.", "news."), ("com", "net", "org", "example.com", "example.net", "info")
+PATHS = ("/", "/en/{}", "/fr/{}", "/de/{}.html", "/es/{}/", "/page/{}?p=2", "/a/{}#top", "/index.html")
+#: Letters as often as in running text, for made-up words.
+LETTERS = "eeeeeeetttttaaaaaooooiiiinnnnssssshhhhrrrrddlllluucccmmwwffggyyppbbvk"
+
+
+def labelled_urls(each: int = 8, made_up: int = 900) -> list[tuple[str, int]]:
+    """The small labelled table the model is trained on, (url, 1 = unwanted), made by rule from the words above.
+
+    Every word has ``each`` urls, whose hosts join it with another of its kind
+    or a made-up word; ``made_up`` more ordinary hosts are made-up words alone, so that
+    letters that were never seen together count as ordinary.  Fronts, ends and paths are dealt to
+    both kinds alike, by a checksum.
+    """
+    def draw(options, *key):
+        return options[zlib.crc32(repr(key).encode()) % len(options)]
+
+    def invented(k: int) -> str:
+        return "".join(draw(LETTERS, "letter", k, i) for i in range(4 + k % 7))
+
+    def url(host: str, word: str, k: int) -> str:
+        path = draw((*PATHS, "/{}-" + word, "/" + word + "/{}"), "path", host, k).format(zlib.crc32(host.encode()) % 991)
+        return f"{draw(('http', 'https'), 'scheme', host)}://{draw(FRONTS, 'front', host)}{host}.{draw(ENDS, 'end', host)}{path}"
+
+    out = []
+    for words, label in ((UNWANTED, 1), (ORDINARY, 0)):
+        for w in words:
+            for k in range(each):
+                other = invented(zlib.crc32(w.encode()) % 997 + k) if k % 4 == 3 else draw(words, "other", w, k)
+                parts = [w, other] if k % 2 else [other, w]
+                out.append((url(draw(("-", ""), "joint", w, k).join(parts), w, k), label))
+    return out + [(url(w, w, k), 0) for k, w in enumerate(map(invented, range(made_up)))]
 
 
 def host_and_path(url) -> tuple:
@@ -80,16 +107,20 @@ def _grams_of(df: DataFrame, url: str) -> DataFrame:
     return df.withColumn("host", host).withColumn("path", path).withColumn("grams", char_ngrams(F.col("host"), F.col("path")))
 
 
-def train_url_model(labelled: DataFrame, features: int = 1 << 16, ridge: float = 0.01) -> PipelineModel:
+def train_url_model(labelled: DataFrame, features: int = 1 << 16, ridge: float = 1e-4) -> PipelineModel:
     """Fit the regression on a labelled table (url, label 0/1); rows with a null are left out.
 
-    The model is one vector of ``features`` weights, whatever the table's size.
+    Both labels weigh the same in all, so 0.5 lies between them whatever their
+    numbers.  The model is one vector of ``features`` weights, whatever the table's size.
     """
     rows = _grams_of(pick(labelled, "url", "label").dropna().withColumn("label", F.col("label").cast("double")), "url")
+    n, unwanted = rows.agg(F.count("*"), F.sum("label")).first()
+    share = F.when(F.col("label") == 1.0, F.lit(unwanted)).otherwise(F.lit(n - (unwanted or 0.0)))
+    rows = rows.withColumn("weight", F.lit(n / 2.0) / share)
     return Pipeline(stages=[
         HashingTF(numFeatures=features, binary=True, inputCol="grams", outputCol="counts"),
         Normalizer(p=2.0, inputCol="counts", outputCol="features"),
-        LogisticRegression(regParam=ridge, maxIter=60, standardization=False, probabilityCol="probability"),
+        LogisticRegression(regParam=ridge, maxIter=200, standardization=False, weightCol="weight", probabilityCol="probability"),
     ]).fit(rows)
 
 
@@ -110,4 +141,4 @@ def judge_urls(pages: DataFrame, model: PipelineModel, rules=RULES, threshold: f
 
 
 def default_model(spark: SparkSession) -> PipelineModel:
-    return train_url_model(spark.createDataFrame(LABELLED, "url string, label int"))
+    return train_url_model(spark.createDataFrame(labelled_urls(), "url string, label int"))

@@ -8,10 +8,11 @@ size are one group, and only groups meet: by a shared prefix token, within the
 bounds on size and position.  Group pairs are then expanded to their classes
 and these verified on the whole sets.
 
-The whole join (``similar_classes``) verifies every pair of classes that groups
-or prefixes bring together.  Where components alone are asked for, as when one
-of each is kept (``linked_classes``), links are needed only as far as they join
-components, and pairs are made in two steps.  First, along each token's list of groups, every group meets its
+``similar_classes`` verifies every pair of classes that groups or prefixes bring
+together and returns them all.  Where components are asked for
+(``linked_classes``), links are needed only as far as they join
+components, and pairs are made in two steps.  ``link_counts`` goes on from there: within a component
+every two classes are compared in blocks that give out counts, not pairs.  First, along each token's list of groups, every group meets its
 neighbour and the list's head, a linear number of pairs; the links found give
 components.  Then all remaining pairs of a list that lie in different
 components are verified as well, so that no link between components is missed.
@@ -21,18 +22,26 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.session import release
 
-from .common import pick, row_slices, written
+from .common import pick, skew_join, written
+from .encode import byte_slices
 
 #: Shingles fall into this many buckets, whose counts over all documents give the order of rarity.
 BUCKETS = 1 << 17
 #: Bits of the filter that says which classes take part in a pair.
 FILTER_BITS = 1 << 24
+#: So many partners of a group are verified before components are known.
+PARTNERS = 4
+#: So many pairs of neighbours, and so many hubs on either side, are tried for two components at each bridging.
+BRIDGE, HUBS = 4, 4
+#: Classes of one component are compared in blocks of at most so many, and so many shingles, to a side.
+SIDE, SIDE_SHINGLES = 1_024, 1 << 19
 #: Longer lists of groups are dealt over several keys.
 LIST = 256
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -45,28 +54,47 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingles:
-    """Text → sorted distinct 64-bit shingle hashes; word hashes are kept, at most ``limit`` of them."""
-
-    def __init__(self, size: int = 5, limit: int = 300_000):
-        self.size, self.limit, self.known = size, limit, {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        if len(words) < self.size:
-            return mixed(np.array([xxhash.xxh3_64_intdigest(hashes.tobytes(), seed=len(words))], dtype=np.uint64))
-        total = hashes[:len(words) - self.size + 1].copy()
-        for j in range(1, self.size):
-            total = total * _MULTIPLY + hashes[j:len(words) - self.size + 1 + j]
-        return np.unique(mixed(total))
+#: White space parts words.
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
+
+
+def sets_of(texts: pa.Array, size: int = 5) -> list[np.ndarray]:
+    """The sorted distinct 64-bit shingle hashes of every text; each different word of the slice is hashed once."""
+    texts = pc.fill_null(texts, "").cast(pa.string())
+    if not len(texts):
+        return []
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    begins, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+    inside = ~SPACE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    at = begins[begins < ends]
+    first[at] = inside[at]
+    starts = np.flatnonzero(first)
+    kept = np.cumsum(inside)
+    word_ends = np.append(kept[starts] - 1, kept[-1] if len(kept) else 0).astype(np.int32)
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(word_ends), pa.py_buffer(np.ascontiguousarray(LOWER[data[inside]]))])
+    coded = words.dictionary_encode()
+    different = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.uint64, len(coded.dictionary))
+    hashes = different[coded.indices.to_numpy()]
+    total = hashes[:max(len(hashes) - size + 1, 0)].copy()
+    for j in range(1, size):
+        total = total * _MULTIPLY + hashes[j:len(hashes) - size + 1 + j]
+    total = mixed(total)
+    cut = np.searchsorted(starts, np.append(begins, ends[-1:]))
+    out = []
+    for begin, end in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        if end - begin >= size:
+            out.append(np.unique(total[begin:end - size + 1]))
+        elif end > begin:
+            out.append(mixed(np.array([xxhash.xxh3_64_intdigest(hashes[begin:end].tobytes(), seed=end - begin)], dtype=np.uint64)))
+        else:
+            out.append(np.empty(0, dtype=np.uint64))
+    return out
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -80,9 +108,8 @@ def prefix_size(n: int, percent: int) -> int:
 
 def _scan(batches, size: int):
     """(doc_id column, key column, shingle sets) of each slice of rows (doc_id, key, text)."""
-    shingles = Shingles(size)
-    for b in row_slices(batches):
-        yield b.column(0), b.column(1), [shingles(t) for t in b.column(2).to_pylist()]
+    for b in byte_slices(batches, 2):
+        yield b.column(0), b.column(1), sets_of(b.column(2), size)
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:
@@ -176,7 +203,7 @@ def _sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
 def _verified(docs: DataFrame, keys: DataFrame, size: int, percent: int, pairs: DataFrame) -> DataFrame:
     """The pairs of classes (a, b) whose whole sets are similar enough, as a written table; ``keys``: class, key."""
     pairs = written(pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    wanted = pairs.select(F.col("a").alias("class")).distinct().union(pairs.select(F.col("b").alias("class")).distinct()).distinct()
     sets = written(_sets_of(docs, size, keys.join(wanted, "class", "left_semi")).join(wanted, "class", "left_semi"))
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), "a") \
         .join(sets.select(F.col("class").alias("b"), F.col("set").alias("set_b")), "b")
@@ -323,7 +350,13 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[
 
 
 def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, n, class per row; links: node, root of the classes that are linked).
+    """(members: doc_id, n, class per row; links: node, root of the classes that are linked); see ``_linked``."""
+    _, members, _, links = _linked(docs, size, percent, bridges)
+    return members, links
+
+
+def _linked(docs: DataFrame, size: int, percent: int, bridges: int = 1) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, members, keys as of ``_classed``; links: node, root of the classes that are linked).
 
     ``bridges`` is how often, between the two steps, a few pairs of any two
     components that are neighbours in a list are tried, so that components of
@@ -351,7 +384,11 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: i
         .where("`group` != xgroup").where(_sizes_fit("", "x", percent) & _any_fits("", "x", percent)) \
         .groupBy(F.least("group", "xgroup").alias("group"), F.greatest("group", "xgroup").alias("xgroup")) \
         .agg(F.count("*").alias("common"), F.max(F.least("n", "xn")).alias("n"), F.max(F.greatest("n", "xn")).alias("xn")) \
-        .where(_enough_shared(F.col("common"), "", "x", percent)).select("group", "xgroup")
+        .where(_enough_shared(F.col("common"), "", "x", percent)).select("group", "xgroup", "common")
+    # A group's likeliest partners are enough to join most of what belongs together; no other pair is lost, as
+    # the last step verifies all that lie in different components.
+    likely = Window.partitionBy("group").orderBy(F.desc("common"), "xgroup")
+    met = met.withColumn("nth", F.row_number().over(likely)).where(F.col("nth") <= PARTNERS).select("group", "xgroup")
     first = of_group.groupBy("group").agg(F.min("class").alias("class"))
     inside = of_group.join(first.withColumnRenamed("class", "b"), "group").select(F.col("class").alias("a"), "b")
     across = met.join(first.withColumnRenamed("class", "a"), "group") \
@@ -359,9 +396,9 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: i
     links = _verified(rows, keys, size, percent, inside.union(across))
     joined = components(links.toDF("u", "v"))
 
-    for _ in range(bridges):
+    for draw in range(bridges):
         placed, lists = _lists_across(of_group, shared, joined)
-        by_draw = Window.partitionBy("token").orderBy(F.hash("group"))
+        by_draw = Window.partitionBy("token").orderBy(F.hash("group", F.lit(draw)))
         entry = F.struct("pos", "n", "group", "root")
         near = lists.withColumn("x", F.lag(entry).over(by_draw)).union(lists.withColumn("x", F.lag(entry, 2).over(by_draw))).where("root != x.root")
         near = near.select("group", "root", "n", "pos", *[F.col(f"x.{c}").alias(f"x{c}") for c in ("group", "root", "n", "pos")]) \
@@ -370,10 +407,17 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: i
             .where(_enough_shared(F.col("common"), "", "x", percent))
         few = Window.partitionBy(F.least("root", "xroot"), F.greatest("root", "xroot")).orderBy(F.desc("common"), "group", "xgroup")
         some = placed.groupBy("group", "root").agg(F.min("class").alias("class"))
-        pairs = near.withColumn("nth", F.row_number().over(few)).where("nth <= 4") \
+        pairs = near.withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= BRIDGE) \
             .join(some.withColumnRenamed("class", "a"), ["group", "root"]) \
             .join(some.select(F.col("group").alias("xgroup"), F.col("root").alias("xroot"), F.col("class").alias("b")), ["xgroup", "xroot"])
-        found = _verified(rows, keys, size, percent, pairs.select("a", "b"))
+        # The classes with most links so far lie in the middle of their component, so others are likeliest linked with them.
+        degree = links.select(F.col("a").alias("class")).union(links.select(F.col("b").alias("class"))).groupBy("class").agg(F.count("*").alias("degree"))
+        central = Window.partitionBy("root").orderBy(F.desc_nulls_last("degree"), "class")
+        hubs = written(placed.select("root", "class").distinct().join(degree, "class", "left").withColumn("nth", F.row_number().over(central))
+                       .where(F.col("nth") <= HUBS).select("root", "class"))
+        meet = near.select(F.least("root", "xroot").alias("r"), F.greatest("root", "xroot").alias("x")).distinct()
+        by_hubs = meet.join(hubs.toDF("r", "a"), "r").join(hubs.toDF("x", "b"), "x").select("a", "b")
+        found = _verified(rows, keys, size, percent, pairs.select("a", "b").union(by_hubs))
         links = written(links.union(found))
         joined = components(links.toDF("u", "v"))
 
@@ -383,7 +427,7 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: i
     left, right = (lists.select("token", *[F.col(c).alias(x + c) for c in ("pos", "n", "group", "root")]) for x in "lr")
     cross = written(left.join(right, "token").where("lroot < rroot").where(_sizes_fit("l", "r", percent) & _first_fits("l", "r", percent))
                     .select("lgroup", "lroot", "ln", "rgroup", "rroot", "rn").distinct())
-    wanted = cross.select(F.explode(F.array("lgroup", "rgroup")).alias("group")).distinct()
+    wanted = cross.select(F.col("lgroup").alias("group")).distinct().union(cross.select(F.col("rgroup").alias("group")).distinct()).distinct()
     prefix = written(classes.select("group", "tokens").join(wanted, "group", "left_semi").dropDuplicates(["group"]))
     release(classes)
     cross = cross.join(prefix.toDF("lgroup", "ltokens"), "lgroup").join(prefix.toDF("rgroup", "rtokens"), "rgroup") \
@@ -394,7 +438,79 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: i
     a = placed.select(F.col("group").alias("lgroup"), F.col("root").alias("lroot"), F.col("class").alias("a"))
     b = placed.select(F.col("group").alias("rgroup"), F.col("root").alias("rroot"), F.col("class").alias("b"))
     more = _verified(rows, keys, size, percent, cross.join(a, ["lgroup", "lroot"]).join(b, ["rgroup", "rroot"]).select("a", "b"))
-    return members, components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(more.select("a", "b")))
+    joined = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(more.select("a", "b")))
+    for done in (of_group, shared, cross, prefix, links, more):
+        release(done)
+    return rows, members, keys, joined
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], chunk: int = 4_096) -> np.ndarray:
+    """How many numbers each set on the left shares with each on the right, as products of 0/1 matrices over some numbers at a time."""
+    sets = [*left, *right]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = count > 1  # a number in one set alone is shared by none
+    dense = np.cumsum(several) - 1
+    keep = several[number]
+    owner, number = owner[keep], dense[number[keep]]
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    both = np.zeros((len(left), len(right)), np.float64)
+    for first in range(0, int(several.sum()), chunk):
+        a, b = np.searchsorted(number, [first, first + chunk])
+        has = np.zeros((len(sets), chunk), np.float32)
+        has[owner[a:b], number[a:b] - first] = 1.0
+        both += has[:len(left)] @ has[len(left):].T
+    return np.rint(both).astype(np.int64)
+
+
+def _others(rows: DataFrame, keys: DataFrame, sizes: DataFrame, links: DataFrame, size: int, percent: int) -> DataFrame:
+    """class, others: the rows of all other classes that a class is linked with, for classes of components of several.
+
+    The classes of a component are dealt over parts of at most about SIDE
+    classes and SIDE_SHINGLES shingles, and every two parts meet in one task, which compares whole
+    sets and gives out one number a class: rows grow with classes times
+    parts, never with links.  Small components share tasks.
+    """
+    placed = links.select(F.col("node").alias("class"), "root").union(links.select(F.col("root").alias("class"), "root").distinct())
+    placed = written(placed.join(sizes, "class"))
+    sets = written(_sets_of(rows, size, keys.join(placed.select("class"), "class", "left_semi")).join(placed, "class"))
+    parts = sets.groupBy("root").agg(F.count("*").alias("k"), F.sum(F.size("set").cast("long")).alias("shingles")).select(
+        "root", F.ceil(F.greatest(F.col("k") / F.lit(SIDE), F.col("shingles") / F.lit(SIDE_SHINGLES))).cast("int").alias("parts"))
+    parts = written(parts)
+    n, shingles = sets.agg(F.count("*"), F.coalesce(F.sum(F.size("set").cast("long")), F.lit(0))).first()
+    few = F.lit(max(1, n // SIDE, shingles // SIDE_SHINGLES))
+    dealt = skew_join(sets, parts, ["root"]).withColumn("part", F.pmod(F.hash("class"), F.col("parts")))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        F.when(F.col("parts") == 1, F.pmod(F.xxhash64("root"), few)).otherwise(F.col("root")).alias("key"), F.least("part", "with").alias("i"),
+        F.greatest("part", "with").alias("j"), (F.col("parts") > 1).alias("large"), "root", "part", "class", "m", "set")
+    arrow = pa.schema([("class", pa.int64()), ("others", pa.int64())])
+
+    def count(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        roots, part, own, m = (block.column(c).to_numpy() for c in ("root", "part", "class", "m"))
+        i, j = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+        column = block.column("set").chunk(0)
+        values, at = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
+        order = np.lexsort((own, roots))
+        out = []
+        for rows_of in np.split(order, np.flatnonzero(np.diff(roots[order])) + 1):
+            a, b = rows_of[part[rows_of] == i], rows_of[part[rows_of] == j]
+            if not len(a) or not len(b):
+                continue
+            both = overlaps([values[at[x]:at[x + 1]] for x in a], [values[at[x]:at[x + 1]] for x in b])
+            union = (at[a + 1] - at[a])[:, None] + (at[b + 1] - at[b])[None, :] - both
+            linked = (100 * both >= percent * union) & (own[a][:, None] != own[b][None, :])
+            out.append((own[a], linked @ m[b]))
+            if i != j:
+                out.append((own[b], linked.T @ m[a]))
+        columns = [np.concatenate([np.asarray(x[k], np.int64) for x in out]) if out else np.zeros(0, np.int64) for k in (0, 1)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=arrow)
+
+    counted = written(dealt.groupBy("key", "i", "j", "large").applyInArrow(count, "class long, others long"))
+    for done in (placed, sets, parts):
+        release(done)
+    return counted.groupBy("class").agg(F.sum("others").alias("others"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -425,15 +541,15 @@ def link_counts(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for every row of ``docs``, from all links of the join.
 
     n_links is the number of other rows that the row is linked with: those of
-    its own class and of every class paired with it.  component_id is that of
-    ``near_duplicates``, here derived from the same links.
+    its own class and of every class linked with it.  Links lie within
+    components, so these are found first, as in ``near_duplicates``, and then every two classes of
+    one are compared.
     """
-    members, pairs = similar_classes(docs, size, percent)
+    rows, members, keys, links = _linked(docs, size, percent)
     sizes = written(members.where("class is not null").groupBy("class").agg(F.count("*").alias("m")))
-    across = pairs.select("a", "b").union(pairs.select("b", "a")).join(sizes.toDF("b", "m"), "b") \
-        .groupBy(F.col("a").alias("class")).agg(F.sum("m").alias("others"))
+    across = _others(rows, keys, sizes, links, size, percent)
     counts = sizes.join(across, "class", "left").select("class", (F.col("m") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    return _named(members, components(pairs.toDF("u", "v"))).join(counts, "class", "left") \
+    return _named(members, links).join(counts, "class", "left") \
         .select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 

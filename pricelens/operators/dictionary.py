@@ -38,9 +38,10 @@ LABELS_DIR, SPEC_DIR = "labels", "spec"
 BROADCAST_LABELS, BROADCAST_BYTES = 100_000, 8 << 20
 #: Labels on more than 1/HOT_SHARE of the training rows (fewer than HOT_SHARE a column) never go through that shuffle.
 HOT_SHARE = 1_000
-#: Nominal features keep this many labels, the most frequent; all others count as unknown.  It bounds the
-#: statistics of a tree node; linear models have a slot for every label.
-TREE_LABELS = 10_000
+#: Nominal features keep this many labels, the most frequent, as MLlib by default has bins for a number; all others
+#: count as unknown.  It bounds the statistics of a tree node and the label set that every split of a tree holds (with
+#: thousands of labels, forests outgrow the driver); linear models have a slot for every label.
+TREE_LABELS = 32
 
 
 @dataclass

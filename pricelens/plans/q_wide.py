@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_train
-from ..operators.dictionary import fit_features
+from ..operators.dictionary import TREE_LABELS, fit_features
 from ..operators.features import with_split_key
 from ..oracles import with_listings
 from ..registry import register
@@ -59,7 +59,7 @@ def q_wide_scaled_long(spark, sf_dir):
 
 
 @register("wide_vectors", with_listings(_TRIPLES + f"""
-, cut AS (SELECT pos, least(count(*), 10000, greatest(1, (SELECT n_rows FROM rows_of) // 8)) AS kept FROM lab GROUP BY pos),
+, cut AS (SELECT pos, least(count(*), {TREE_LABELS}, greatest(1, (SELECT n_rows FROM rows_of) // 8)) AS kept FROM lab GROUP BY pos),
 indexed AS (SELECT c.listing_id, c.pos AS idx, CAST(least(coalesce(l.idx, kept), kept) AS DOUBLE) AS value
  FROM cells c JOIN cut USING (pos) LEFT JOIN lab l ON l.pos = c.pos AND l.label = c.label)
 SELECT t.listing_id, CAST(t.n AS BIGINT) AS n_nonzero, round(t.total, 4) AS scaled_sum, CAST(i.total AS DOUBLE) AS index_sum FROM

@@ -10,6 +10,7 @@ from __future__ import annotations
 import array
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(sf_path(sf_dir, name))
 
 
+@contextmanager
+def session_settings(spark: SparkSession, own: dict[str, str]):
+    """Settings that hold for what is run inside."""
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def written(df: DataFrame, settings: dict[str, str] | None = None) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: computed once, with no lineage behind it.
 
@@ -32,16 +46,8 @@ def written(df: DataFrame, settings: dict[str, str] | None = None) -> DataFrame:
     told to remove them with it instead of at some later garbage collection.
     ``settings`` hold for this write alone.
     """
-    conf = df.sparkSession.conf
-    own = {SHUFFLE_CLEANUP: "true", **(settings or {})}
-    before = {k: conf.get(k, None) for k in own}
-    for k, v in own.items():
-        conf.set(k, v)
-    try:
+    with session_settings(df.sparkSession, {SHUFFLE_CLEANUP: "true", **(settings or {})}):
         return cut_lineage(df)
-    finally:
-        for k, v in before.items():
-            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def skew_join(big: DataFrame, one: DataFrame, keys: list[str], share: int = 1_000) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pricelens.session import release
 
-from .common import pick, skew_join, written
+from .common import SHUFFLE_CLEANUP, pick, session_settings, skew_join, written
 from .encode import byte_slices
 
 #: Shingles fall into this many buckets, whose counts over all documents give the order of rarity.
@@ -108,7 +108,7 @@ def prefix_size(n: int, percent: int) -> int:
 
 def _scan(batches, size: int):
     """(doc_id column, key column, shingle sets) of each slice of rows (doc_id, key, text)."""
-    for b in byte_slices(batches, 2):
+    for b in byte_slices(batches, 2, 1 << 20):
         yield b.column(0), b.column(1), sets_of(b.column(2), size)
 
 
@@ -356,6 +356,12 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: i
 
 
 def _linked(docs: DataFrame, size: int, percent: int, bridges: int = 1) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``_components_of``, with the shuffle files of every job inside removed when it is done, counts and collects as well."""
+    with session_settings(docs.sparkSession, {SHUFFLE_CLEANUP: "true"}):
+        return _components_of(docs, size, percent, bridges)
+
+
+def _components_of(docs: DataFrame, size: int, percent: int, bridges: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(rows, members, keys as of ``_classed``; links: node, root of the classes that are linked).
 
     ``bridges`` is how often, between the two steps, a few pairs of any two
@@ -418,8 +424,10 @@ def _linked(docs: DataFrame, size: int, percent: int, bridges: int = 1) -> tuple
         meet = near.select(F.least("root", "xroot").alias("r"), F.greatest("root", "xroot").alias("x")).distinct()
         by_hubs = meet.join(hubs.toDF("r", "a"), "r").join(hubs.toDF("x", "b"), "x").select("a", "b")
         found = _verified(rows, keys, size, percent, pairs.select("a", "b").union(by_hubs))
-        links = written(links.union(found))
-        joined = components(links.toDF("u", "v"))
+        before, links = links, written(links.union(found))
+        joined_before, joined = joined, components(links.toDF("u", "v"))
+        for done in (hubs, placed, lists, before, found, joined_before):
+            release(done)
 
     # The rest: all pairs of groups in different components, then of their classes there.
     placed, lists = _lists_across(of_group, shared, joined)

@@ -44,6 +44,8 @@ BRIDGE, HUBS = 4, 4
 SIDE, SIDE_SHINGLES = 1_024, 1 << 19
 #: Longer lists of groups are dealt over several keys.
 LIST = 256
+#: Rows of a batch on its way to a worker.
+BATCH_ROWS = 1_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -356,8 +358,11 @@ def linked_classes(docs: DataFrame, size: int = 5, percent: int = 75, bridges: i
 
 
 def _linked(docs: DataFrame, size: int, percent: int, bridges: int = 1) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """``_components_of``, with the shuffle files of every job inside removed when it is done, counts and collects as well."""
-    with session_settings(docs.sparkSession, {SHUFFLE_CLEANUP: "true"}):
+    """``_components_of``, with the shuffle files of every job inside removed when it is done, counts and collects as well.
+
+    Texts go to the workers BATCH_ROWS at a time, so neither side of the pipe holds Spark's 10,000 of them.
+    """
+    with session_settings(docs.sparkSession, {SHUFFLE_CLEANUP: "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
         return _components_of(docs, size, percent, bridges)
 
 

@@ -79,10 +79,10 @@ def q_wide_vectors(spark, sf_dir):
 
 @register("documents_csv_roundtrip", "SELECT CAST(doc_id AS BIGINT) AS doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars FROM documents")
 def q_documents_csv_roundtrip(spark, sf_dir):
-    """Texts with line breaks, commas and quotes as one CSV file, read back block by block."""
+    """Texts with line breaks, commas and quotes as CSV, a file a task, read back block by block."""
     from pyspark.sql import types as T
     docs = spark.read.parquet(sf_path(sf_dir, "documents")).select(F.col("doc_id").cast("long"), "text")
     path = run_dir(spark, "documents_csv")
-    write_clean(docs.coalesce(1), path, fmt="csv")
+    write_clean(docs, path, fmt="csv")
     back = read_split_csv(spark, path, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]), CSV)
     return back.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"))

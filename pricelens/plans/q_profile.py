@@ -186,7 +186,7 @@ SELECT column_name, value, CAST(n AS BIGINT) AS n, CAST(rnk AS INTEGER) AS rank
 WHERE rnk <= {TOP_K_CATEGORIES}"""))
 def q_top10_categories(spark, sf_dir):
     """The ten most frequent values of each profiled column (ties by value)."""
-    return top_categories_per_column(clean(spark, sf_dir), PROFILE_CATEGORIES, TOP_K_CATEGORIES)
+    return top_categories_per_column(materialized(spark, sf_dir, PROFILE_CATEGORIES), PROFILE_CATEGORIES, TOP_K_CATEGORIES)
 
 
 _LONG_TEXTS = ["AdditionInfo", "model", "PostedDate"]
@@ -199,7 +199,7 @@ SELECT column_name, value, CAST(n AS BIGINT) AS n, CAST(rnk AS INTEGER) AS rank
 WHERE rnk <= {TOP_K_CATEGORIES}"""))
 def q_top10_free_texts(spark, sf_dir):
     """The ten most frequent values of the columns whose vocabulary grows with the data."""
-    return top_categories_per_column(clean(spark, sf_dir), _LONG_TEXTS, TOP_K_CATEGORIES)
+    return top_categories_per_column(materialized(spark, sf_dir, _LONG_TEXTS), _LONG_TEXTS, TOP_K_CATEGORIES)
 
 
 @register("top10_filter", with_listings(

@@ -24,7 +24,7 @@ from ..sources.artifacts import artifact_dir, load_artifacts, metadata_frame, sa
 from .common import clean, materialized
 from .q_models import DEEP, stored_run
 from .q_serve import CONFORMED_SQL, requests
-from .score import all_requests, predict, score_requests
+from .score import all_requests, predict, score_all
 from .train import train as train_job
 
 ONE_TREE = dict(numTrees=1, bootstrap=False, maxDepth=DEEP, featureSubsetStrategy="all")
@@ -244,7 +244,7 @@ def _priced(df):
 def q_score_from_saved_by_year(spark, sf_dir):
     """Every raw listing as a request, priced by stored artefacts or returned with the rules it breaks."""
     art = load_artifacts(spark, _saved(spark, sf_dir))
-    return _priced(all_requests(*score_requests(requests(spark, sf_dir), art)))
+    return _priced(score_all(requests(spark, sf_dir), art))
 
 
 @register("score_stream_by_year", with_listings(_SCORED))

@@ -3,12 +3,15 @@
 A text whose words are parted by single spaces or line breaks is cut into
 pieces by Arrow; a slice of rows has each different piece resolved once, and
 the ids of its texts are gathered from those of its pieces by numpy.  No
-Python object is made for a word of running text.
+Python object is made for a word of running text, nor, where a tokenizer lets
+words be tokenized side by side, for one that is remembered.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +24,12 @@ FIRST = "\x1c"
 #: Texts that are encoded one by one: other white space, or spaces and line breaks at an end or next to each other.
 ODD = (r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
        r"|^[ \n]|[ \n][ \n]|[ \n]\z")
+#: Words that ``plain`` takes, after a line break or not; Arrow's form of it.
+LETTERS = r"\A\n?[A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]+\z"
+#: Parts of a line of words of letters, each after one space or line break.
+IN_LINE = re.compile(r"[ \n]?(?:[^\W\d_]+[ \n]?)*")
+#: Bytes of the longest word that is remembered.
+LONGEST = 64
 _ENCODERS: dict[str, "TextsEncoder"] = {}
 
 
@@ -33,6 +42,44 @@ def strings(values: pa.Array) -> list[str]:
     return values.to_numpy(zero_copy_only=False).tolist()
 
 
+def gathered(pool: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` that begin and are as long as said, one after the other."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(begin - (ends - size), size) + np.arange(total)] if total else pool[:0]
+
+
+class LineIds:
+    """Ids of words as columns: the words, all ids, and where a word's begin and how many they are.
+
+    Different new words are tokenized by ``learn`` (words → all ids, number of each).
+    Once more than ``limit`` words are remembered, those asked for last alone
+    stay, so the size is bounded by that and the words of one call.
+    """
+
+    def __init__(self, learn, limit: int):
+        self.learn, self.limit = learn, limit
+        self.words, self.pool, self.size = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, begin and number of ids of the words known, and each different word's place there, -1 if it isn't of letters alone."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        new = at < 0
+        fresh = words.filter(pa.array(new))
+        fit = pc.and_(pc.less_equal(pc.binary_length(fresh), LONGEST), pc.match_substring_regex(fresh, LETTERS))
+        fresh = fresh.filter(fit)
+        if len(fresh):
+            ids, size = self.learn(fresh)
+            at[np.flatnonzero(new)[fit.to_numpy(zero_copy_only=False)]] = len(self.words) + np.arange(len(fresh))
+            self.words = pa.concat_arrays([self.words, fresh])
+            self.pool, self.size = np.concatenate([self.pool, ids]), np.concatenate([self.size, size])
+        pool, size, begin = self.pool, self.size, np.cumsum(self.size) - self.size
+        if len(self.words) > self.limit:
+            stay = at[at >= 0]
+            self.words, self.pool, self.size = self.words.take(pa.array(stay)), gathered(pool, begin[stay], size[stay]), size[stay]
+        return pool, begin, size, at
+
+
 class TextsEncoder:
     """Ids of texts as the library's plain call makes them (``add_special_tokens=False``), one array a text."""
 
@@ -47,45 +94,72 @@ class TextsEncoder:
         self.all_odd = any(t.normalized for t in added)
         self.model, self.chunk_ids, self.alphabet = tok.model, _chunk_encoder(tok), _byte_level()
         self.lower, self.byte_level = "Lowercase" in str(tok.normalizer), "ByteLevel" in str(tok.pre_tokenizer)
-        space, vocab = self.alphabet[ord(" ")], tok.get_vocab()
-        #: Whether a token begins a word, and whether words may be tokenized side by side: no token holds a space further on.
+        space, line, vocab = self.alphabet[ord(" ")], self.alphabet[ord("\n")], tok.get_vocab()
+        #: Whether a token begins a word, and whether words may be tokenized side by side: no token that such a line can hold goes past a word's end or joins a line break.
         self.begins = np.zeros(max(vocab.values()) + 1, bool)
-        self.begins[[i for t, i in vocab.items() if t[0] == space]] = True
-        self.side_by_side = self.byte_level and not self.lower and not any(space in t.lstrip(space) for t in vocab)
+        self.begins[[i for t, i in vocab.items() if t[0] in (space, line)]] = True
+        over = [t for t in vocab if space in t[1:] or line in t[1:] or t[0] == line != t]
+        self.side_by_side = self.byte_level and not self.lower and tok.normalizer is None and not any(IN_LINE.fullmatch(self._text(t)) for t in over)
         self.marks = WordIds(lambda m: packed([t.id for t in self.model.tokenize(m)]), 10_000)
         self.words = WordIds(self._other_ids, 200_000)
+        self.lines = LineIds(self._learn, 400_000)
+
+    def _text(self, token: str) -> str:
+        """The whole characters of a byte-level token."""
+        byte = {c: b for b, c in self.alphabet.items()}
+        return bytes(byte[c] for c in token if c in byte).decode(errors="ignore")
 
     def _other_ids(self, piece: str) -> bytes:
         if piece[0] == FIRST:
             return packed(self.chunk_ids(piece[1:])) if len(piece) > 1 else b""
         return packed(self.chunk_ids(piece if piece[0] == "\n" else " " + piece))
 
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """Ids of words after a space, all of letters: tokenized side by side and parted where a word begins."""
-        out, known = [], self.words
-        for at in range(0, len(words), 64):
-            some = words[at:at + 64]
-            line = (" " + " ".join(some)).encode().decode("latin-1").translate(self.alphabet)
-            ids = np.fromiter([t.id for t in self.model.tokenize(line)], "<u4")
-            begin = np.flatnonzero(self.begins[ids])
-            raw, ends = ids.tobytes(), [*begin[1:].tolist(), len(ids)]
-            out += [raw[4 * i:4 * j] for i, j in zip(begin.tolist(), ends)] if len(begin) == len(some) else [self._other_ids(w) for w in some]
-        for w, ids in zip(words, out):
-            known.keep(w, ids)
-        return out
+    def _learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words of letters and the number of each, tokenized side by side and parted where a word begins."""
+        spaced = pc.if_else(pc.starts_with(words, "\n"), words, pc.binary_join_element_wise("", words, " "))
+        ends = np.cumsum(pc.binary_length(spaced).to_numpy())[63::64].tolist()
+        text = "".join(strings(spaced)).encode().decode("latin-1").translate(self.alphabet)
+        tokens = (self.model.tokenize(text[i:j]) for i, j in zip([0, *ends], [*ends, len(text)]))
+        ids = np.array([t.id for t in chain.from_iterable(tokens)], "<u4")
+        begin = np.flatnonzero(self.begins[ids])
+        if len(begin) == len(words):
+            return ids, np.diff(begin, append=len(ids))
+        each = list(map(self._other_ids, strings(words)))
+        return np.frombuffer(b"".join(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)) >> 2
+
+    def _line_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of different pieces and the number of each, put together from words of letters, marks after them and the other pieces."""
+        stripped = pc.utf8_rtrim(pieces, characters=MARKS)
+        words = stripped.dictionary_encode()
+        pool, begin, size, place = self.lines(words.dictionary)
+        at = place[words.indices.to_numpy()]
+        tail = pc.binary_length(pieces).to_numpy() - pc.binary_length(stripped).to_numpy()
+        own = np.flatnonzero((at < 0) | (tail > 0))
+        n_marks = np.where(at < 0, 0, tail)[own].tolist()
+        more = [self.marks[p[-n:]] if n else self.words[p] for p, n in zip(strings(pieces.take(pa.array(own))), n_marks)]
+        #: A piece is the run of its word, none if it is another piece, and the run of its marks or of all of it.
+        begins, sizes = np.zeros((len(pieces), 2), np.int64), np.zeros((len(pieces), 2), np.int64)
+        known = np.flatnonzero(at >= 0)
+        begins[known, 0], sizes[known, 0] = begin[at[known]], size[at[known]]
+        sizes[own, 1] = np.fromiter(map(len, more), np.int64, len(more)) >> 2
+        begins[own, 1] = len(pool) + np.cumsum(sizes[own, 1]) - sizes[own, 1]
+        pool = np.concatenate([pool, np.frombuffer(b"".join(more), "<u4")])
+        return gathered(pool, begins.ravel(), sizes.ravel()), sizes.sum(axis=1)
+
+    def _piece_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of different pieces and the number of each; words with marks after them are put together from both."""
+        if self.side_by_side:
+            return self._line_ids(pieces)
+        out = self._each_piece(pieces)
+        return np.frombuffer(b"".join(out), "<u4"), np.fromiter(map(len, out), np.int64, len(out)) >> 2
 
-    def _piece_ids(self, pieces: pa.Array) -> list[bytes]:
-        """Ids of different pieces; words with marks after them are put together from both."""
+    def _each_piece(self, pieces: pa.Array) -> list[bytes]:
         if not self.byte_level:
             return list(map(self.words.__getitem__, strings(pieces)))
         stripped = pc.utf8_rtrim(pieces, characters=MARKS)
         words = stripped.dictionary_encode()
         names = strings(words.dictionary)
         ids = list(map(self.words.known, names))
-        if self.side_by_side:
-            new = [i for i, x in enumerate(ids) if x is None and plain(names[i])]
-            for i, x in zip(new, self._learn([names[i] for i in new])):
-                ids[i] = x
         at = words.indices.to_numpy()
         marked = (pc.binary_length(stripped).to_numpy() != pc.binary_length(pieces).to_numpy())
         own = np.unique(at[~marked])
@@ -120,17 +194,12 @@ class TextsEncoder:
         marked = pc.binary_join_element_wise(FIRST, pc.replace_substring(texts, "\n", " \n"), "")
         cut = pc.split_pattern(marked, " ")
         words = cut.flatten().dictionary_encode()
-        known = self._piece_ids(words.dictionary)
-        pool = np.frombuffer(b"".join(known), "<u4")
-        size = np.fromiter(map(len, known), np.int64, len(known)) >> 2
-        begin = np.cumsum(size) - size
+        pool, size = self._piece_ids(words.dictionary)
         at = words.indices.to_numpy()
-        sizes = size[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1])
-        ids = pool[np.repeat(begin[at] - (ends - sizes), sizes) + np.arange(total)] if total else pool[:0]
+        sizes, begin = size[at], np.cumsum(size) - size
+        ids = gathered(pool, begin[at], sizes)
         first = np.diff(cut.offsets.to_numpy())
-        out = np.split(ids, ends[np.cumsum(first)[:-1] - 1])
+        out = np.split(ids, np.cumsum(sizes)[np.cumsum(first)[:-1] - 1])
         for i, own in whole.items():
             out[i] = own
         return out

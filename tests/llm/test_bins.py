@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pricelens.llm import bins
 from pricelens.llm.common import table, text_encoder, tokenizer_path
-from pricelens.llm.encode import byte_slices, texts_encoder
+from pricelens.llm.encode import TextsEncoder, byte_slices, texts_encoder
 from pricelens.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -116,6 +116,28 @@ def test_texts_encoder_equals_the_library(name):
     assert [text_encoder(tokenizer_path(name), False)(t) for t in texts] == [np.array(w, "<u4").tobytes() for w in want]
 
 
+def test_words_of_letters_are_tokenized_side_by_side(monkeypatch):
+    rnd, encode, asked = random.Random(3), TextsEncoder(tokenizer_path(BYTE)), []
+    monkeypatch.setattr(encode.words, "ids_of", lambda piece, ids=encode.words.ids_of: asked.append(piece) or ids(piece))
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZßéñĳžƀ") for _ in range(rnd.randint(1, 12)))
+    for limit in (None, 50, 50):
+        if limit:
+            encode.lines.limit = limit
+        texts = ["The " + "".join(word() + rnd.choice([" ", ", ", "! ", "\n", ".\n"]) for _ in range(200)) + "end" for _ in range(20)]
+        assert [x.tolist() for x in encode(pa.array(texts))] == [tok(BYTE).encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(asked) <= 1
+    assert len(encode.lines.words) <= 50 + 4_000
+    assert not TextsEncoder(tokenizer_path("word_bpe_49k.json")).side_by_side
+
+
+def test_other_pieces_among_words_of_letters():
+    encode = TextsEncoder(tokenizer_path(BYTE))
+    texts = ["", "\x1c", "a", "a\xa0 \xa0b c", "İstanbul İ, ΑΣ. ſ ǅ, x", "w.% e_f!! 4,5 ,\n, b\n.c d'\n'e", "Q " + "y" * 65 + " " + "é" * 40 + ", " + "z" * 64 + ".", None,
+             "one two\nthree, four\nfive", "日本 語, 中 \u0301 e\u0301, ĳ ƀ.", "ªb µ, º ×a ÷"]
+    for _ in range(2):
+        assert [x.tolist() for x in encode(pa.array(texts))] == [tok(BYTE).encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_texts_encoder_forgets_and_slices_by_bytes():
     encode = texts_encoder(tokenizer_path(BYTE))
     limit, encode.words.limit = encode.words.limit, 5

@@ -14,26 +14,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.llm import decontaminate, jaccard, language, packing, secrets
 from pricelens.llm.common import table, tokenizer_path
-from pricelens.session import ensure_checkpoint_dir
+from pricelens.session import ensure_checkpoint_dir, small_batches
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return language.keep_known(docs, language.train(language.learnable(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secrets.mask_secrets(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 

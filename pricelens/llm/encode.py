@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import LATIN_END, MARKS, WordIds, _byte_level, _chunk_encoder, packed, text_encoder
+from .common import KEPT, LATIN_END, MARKS, WordIds, _byte_level, _chunk_encoder, packed, text_encoder
 
 #: Stands before a text's first piece, which follows no space; it is white space of ODD, so no other piece holds it.
 FIRST = "\x1c"
@@ -31,6 +31,7 @@ IN_LINE = re.compile(r"[ \n]?(?:[^\W\d_]+[ \n]?)*")
 #: Bytes of the longest word that is remembered.
 LONGEST = 64
 _ENCODERS: dict[str, "TextsEncoder"] = {}
+KEPT.append(_ENCODERS)
 
 
 def plain(word: str) -> bool:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pricelens.session import release
 
-from .common import SHUFFLE_CLEANUP, pick, session_settings, skew_join, written
+from .common import SHUFFLE_CLEANUP, give_back, lean_worker, pick, session_settings, skew_join, written
 from .encode import byte_slices
 
 #: Shingles fall into this many buckets, whose counts over all documents give the order of rarity.
@@ -109,9 +109,14 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def _scan(batches, size: int):
-    """(doc_id column, key column, shingle sets) of each slice of rows (doc_id, key, text)."""
+    """(doc_id column, key column, shingle sets) of each slice of rows (doc_id, key, text).
+
+    The worker is left as small as it can be: it stays beside the shuffles that follow.
+    """
+    lean_worker()
     for b in byte_slices(batches, 2, 1 << 20):
         yield b.column(0), b.column(1), sets_of(b.column(2), size)
+    give_back()
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, map_slices, pick, row_slices, written
+from .common import give_back, lean_worker, map_rows, map_slices, pick, row_slices, written
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 4
@@ -110,20 +110,22 @@ def train(labelled: DataFrame, sample_rows: int = 20_000, most_words: int = 60_0
     arrow = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("term", pa.string()), ("n", pa.int64())])
 
     def count(batches):
+        lean_worker()
         for b in row_slices(batches, 2_000):
             words: dict[str, Counter] = {}
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words.setdefault(lang, Counter()).update(words_of(text))
-            out = []
             for lang, seen in words.items():
                 grams = Counter()
                 for w, k in seen.items():
                     for size in range(1, LONGEST + 1):
                         for g in ngrams(w, size):
                             grams[g] += k
-                out += [(lang, 0, w, k) for w, k in seen.items()] + [(lang, len(g), g, k) for g, k in grams.items()]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), arrow.types)], schema=arrow)
+                for terms in (seen, grams):
+                    if terms:
+                        columns = [lang] * len(terms), [0 if terms is seen else len(g) for g in terms], list(terms), list(terms.values())
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow.types)], schema=arrow)
+        give_back()
 
     counts = written(rows.mapInArrow(count, "lang string, size int, term string, n long")
                      .groupBy("lang", "size", "term").agg(F.sum("n").alias("n")))
@@ -155,7 +157,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     arrow = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(b: pa.RecordBatch) -> dict:
-        scorer = state.get("scorer") or state.setdefault("scorer", Scorer(shared.value))
+        scorer = state.get("scorer") or state.setdefault("scorer", _scorer(shared.value))
         found = [scorer.predict(t) for t in b.column(2).to_pylist()]
         return {"doc_id": b.column(0), "held_out": b.column(1), "lang_pred": [x for x, _ in found], "score": [s for _, s in found]}
 
@@ -163,6 +165,12 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return map_slices(rows, run, "doc_id long, held_out boolean, lang_pred string, score double", arrow)
 
 
+def _scorer(model: LanguageModel) -> Scorer:
+    """A task's scorer, in a worker that holds nothing of earlier stages."""
+    lean_worker()
+    return Scorer(model)
+
+
 def learnable(docs: DataFrame) -> DataFrame:
     """(text, lang) of the documents that may be learned from: language given, not held out."""
     return pick(docs, "doc_id", "text", "lang").where(~held_out() & F.col("doc_id").isNotNull()).select("text", "lang")
@@ -173,7 +181,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> Dat
     shared, state, at = docs.sparkSession.sparkContext.broadcast(model), {}, docs.columns.index("text")
 
     def run(batches):
-        scorer = state.get("scorer") or state.setdefault("scorer", Scorer(shared.value))
+        scorer = state.get("scorer") or state.setdefault("scorer", _scorer(shared.value))
         for b in row_slices(batches):
             found = [scorer.predict(t) for t in b.column(at).to_pylist()]
             yield b.filter(pa.array([x != "und" and s >= least for x, s in found], pa.bool_()))

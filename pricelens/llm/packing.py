@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import give_back, pick
 from .encode import byte_slices, texts_encoder
 
 #: A piece before it is placed: doc_id, ids of the document before it, its ids, ids of the whole document.
@@ -127,6 +127,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
                        ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches):
+        give_back()
         encode, first, end = texts_encoder(tokenizer), TaskContext.get().partitionId() << 40, np.array([end_id], "<u4")
 
         def pieces():
@@ -147,6 +148,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
                 rows = []
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), arrow.types)], schema=arrow)
+        give_back()
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

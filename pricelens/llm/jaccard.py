@@ -210,15 +210,16 @@ def _sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
 def _verified(docs: DataFrame, keys: DataFrame, size: int, percent: int, pairs: DataFrame) -> DataFrame:
     """The pairs of classes (a, b) whose whole sets are similar enough, as a written table; ``keys``: class, key."""
     pairs = written(pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    wanted = pairs.select(F.col("a").alias("class")).distinct().union(pairs.select(F.col("b").alias("class")).distinct()).distinct()
-    sets = written(_sets_of(docs, size, keys.join(wanted, "class", "left_semi")).join(wanted, "class", "left_semi"))
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    wanted = written(keys.join(wanted, "class", "left_semi"))
+    sets = written(_sets_of(docs, size, wanted).join(wanted, "class", "left_semi"))
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), "a") \
         .join(sets.select(F.col("class").alias("b"), F.col("set").alias("set_b")), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     found = written(both.select("a", "b", shared.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sum"))
                     .where(F.lit(100) * F.col("both") >= F.lit(percent) * (F.col("sum") - F.col("both"))).select("a", "b"))
-    release(pairs)
-    release(sets)
+    for done in (pairs, wanted, sets):
+        release(done)
     return found
 
 
@@ -252,13 +253,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (u, v); the root is the smallest node that can be reached.
 
     Alternating stars: each node hands its larger neighbours to the smallest
-    it knows, then all its smaller ones, until nothing changes; rounds grow
+    it knows, then all its smaller ones, until only stars are left; rounds grow
     with the logarithm of the longest path.  Each round is written to the
     shared folder.
     """
     now = written(edges.mapInArrow(_forest, "u long, v long").distinct())
-    mark = None
-    while True:
+    while not _settled(now):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
@@ -266,10 +266,15 @@ def components(edges: DataFrame) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(least.select("u", F.col("m").alias("v")))
-        now = written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        last, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == last:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        before, now = now, written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        release(before)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether the distinct edges (u, v) with v < u are stars: every u has one v, which is no other edge's u."""
+    ends = edges.selectExpr("u node", "1 up", "0 down").union(edges.selectExpr("v", "0", "1"))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").isEmpty()
 
 
 def _needed(a: str, b: str, percent: int):
@@ -416,7 +421,8 @@ def _components_of(docs: DataFrame, size: int, percent: int, bridges: int) -> tu
         placed, lists = _lists_across(of_group, shared, joined)
         by_draw = Window.partitionBy("token").orderBy(F.hash("group", F.lit(draw)))
         entry = F.struct("pos", "n", "group", "root")
-        near = lists.withColumn("x", F.lag(entry).over(by_draw)).union(lists.withColumn("x", F.lag(entry, 2).over(by_draw))).where("root != x.root")
+        near = lists.withColumn("one", F.lag(entry).over(by_draw)).withColumn("two", F.lag(entry, 2).over(by_draw)) \
+            .withColumn("x", F.explode(F.array("one", "two"))).where("root != x.root")
         near = near.select("group", "root", "n", "pos", *[F.col(f"x.{c}").alias(f"x{c}") for c in ("group", "root", "n", "pos")]) \
             .where(_sizes_fit("", "x", percent) & _any_fits("", "x", percent)) \
             .groupBy("group", "root", "n", "xgroup", "xroot", "xn").agg(F.count("*").alias("common")) \
@@ -445,7 +451,7 @@ def _components_of(docs: DataFrame, size: int, percent: int, bridges: int) -> tu
     left, right = (lists.select("token", *[F.col(c).alias(x + c) for c in ("pos", "n", "group", "root")]) for x in "lr")
     cross = written(left.join(right, "token").where("lroot < rroot").where(_sizes_fit("l", "r", percent) & _first_fits("l", "r", percent))
                     .select("lgroup", "lroot", "ln", "rgroup", "rroot", "rn").distinct())
-    wanted = cross.select(F.col("lgroup").alias("group")).distinct().union(cross.select(F.col("rgroup").alias("group")).distinct()).distinct()
+    wanted = cross.select(F.col("lgroup").alias("group")).union(cross.select("rgroup")).distinct()
     prefix = written(classes.select("group", "tokens").join(wanted, "group", "left_semi").dropDuplicates(["group"]))
     release(classes)
     cross = cross.join(prefix.toDF("lgroup", "ltokens"), "lgroup").join(prefix.toDF("rgroup", "rtokens"), "rgroup") \
@@ -493,12 +499,11 @@ def _others(rows: DataFrame, keys: DataFrame, sizes: DataFrame, links: DataFrame
     placed = links.select(F.col("node").alias("class"), "root").union(links.select(F.col("root").alias("class"), "root").distinct())
     placed = written(placed.join(sizes, "class"))
     sets = written(_sets_of(rows, size, keys.join(placed.select("class"), "class", "left_semi")).join(placed, "class"))
-    parts = sets.groupBy("root").agg(F.count("*").alias("k"), F.sum(F.size("set").cast("long")).alias("shingles")).select(
-        "root", F.ceil(F.greatest(F.col("k") / F.lit(SIDE), F.col("shingles") / F.lit(SIDE_SHINGLES))).cast("int").alias("parts"))
-    parts = written(parts)
-    n, shingles = sets.agg(F.count("*"), F.coalesce(F.sum(F.size("set").cast("long")), F.lit(0))).first()
+    of_root = written(sets.groupBy("root").agg(F.count("*").alias("count"), F.sum(F.size("set").cast("long")).alias("shingles")))
+    parts = of_root.select("root", F.ceil(F.greatest(F.col("count") / F.lit(SIDE), F.col("shingles") / F.lit(SIDE_SHINGLES))).cast("int").alias("parts"))
+    n, shingles = of_root.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.sum("shingles"), F.lit(0))).first()
     few = F.lit(max(1, n // SIDE, shingles // SIDE_SHINGLES))
-    dealt = skew_join(sets, parts, ["root"]).withColumn("part", F.pmod(F.hash("class"), F.col("parts")))
+    dealt = skew_join(sets, parts, ["root"], rows=(n, of_root)).withColumn("part", F.pmod(F.hash("class"), F.col("parts")))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         F.when(F.col("parts") == 1, F.pmod(F.xxhash64("root"), few)).otherwise(F.col("root")).alias("key"), F.least("part", "with").alias("i"),
         F.greatest("part", "with").alias("j"), (F.col("parts") > 1).alias("large"), "root", "part", "class", "m", "set")
@@ -526,7 +531,7 @@ def _others(rows: DataFrame, keys: DataFrame, sizes: DataFrame, links: DataFrame
         return pa.Table.from_arrays([pa.array(c) for c in columns], schema=arrow)
 
     counted = written(dealt.groupBy("key", "i", "j", "large").applyInArrow(count, "class long, others long"))
-    for done in (placed, sets, parts):
+    for done in (placed, sets, of_root):
         release(done)
     return counted.groupBy("class").agg(F.sum("others").alias("others"))
 

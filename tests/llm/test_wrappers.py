@@ -22,3 +22,17 @@ def test_a_wrapper_stays_bounded(monkeypatch):
     monkeypatch.setattr(wrappers, "MOST_NODES", 12)
     pages = [[f"div class={i}", ["#", "", []], "p", ["#", "", []]] for i in range(9)]
     assert wrappers.size_of(wrappers.joined(pages)) <= 12
+
+
+def test_structures_beyond_the_bound_are_learned_too(spark):
+    # No two structures of 2,100 nodes fit into one wrapper.  Only a wrapper knows that a notice without a name is the same on all its pages.
+    def page(k, i):
+        rules = "".join(f"<hr class=z{k}-{j}>" for j in range(2_095))
+        return f"<body class=x{k}><h2 class=n{k}>Notice {k}</h2><p class=y{k}>story {k} {i}</p>{rules}</body>"
+
+    several = wrappers.all_joined([(k, [f"hr class={k}-{j}" for j in range(1_500)]) for k in range(4)])
+    assert [d for d, _ in several] == [0, 2] and all(wrappers.size_of(w) <= wrappers.MOST_NODES for _, w in several)
+    df = spark.createDataFrame([(10 * k + i, "http://h/a", page(k, i)) for k in range(4) for i in range(4)], "page_id long, url string, html string")
+    for at_once in (2, 64):
+        got = {r["page_id"]: r["text"] for r in wrappers.extract(df, sample=at_once).collect()}
+        assert got == {10 * k + i: f"story {k} {i}" for k in range(4) for i in range(4)}

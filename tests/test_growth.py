@@ -9,7 +9,7 @@ from pricelens.operators.clean import clean_listings
 from pricelens.operators.dictionary import INDEXED, prepare_features
 from pricelens.operators.models import estimator, features_for
 from pricelens.operators.tuning import ROWS_AT_ONCE, fits_at_once
-from pricelens.plans import q_profile, q_wide
+from pricelens.plans import q_models, q_profile, q_wide
 from pricelens.plans.score import score_all
 from pricelens.schema import ID, LABEL
 from pricelens.sources.artifacts import Artifacts
@@ -94,3 +94,24 @@ def test_requests_are_derived_once(spark):
 
 def test_large_fits_run_one_at_a_time():
     assert [fits_at_once(n, 8) for n in (0, 1_000, ROWS_AT_ONCE // 3, ROWS_AT_ONCE, 10 * ROWS_AT_ONCE)] == [8, 8, 3, 1, 1]
+
+
+def test_importances_see_every_label(spark, monkeypatch):
+    # 32 common labels and 20 rare ones, which alone tell the price; the fuel tells most of it.
+    label = lambda i: i % 32 if i < 576 else 32 + i % 20
+    high = lambda i: label(i) >= 32 and label(i) % 2 == 1
+    data = [(f"id-{i}", f"m{label(i):02d}", "Diesel" if high(i) != (i % 9 == 0) else "Petrol", 2000 + i % 7, 1000.0 + i % 3, 10_000.0 if high(i) else 1_000.0)
+            for i in range(800)]
+    rows = spark.createDataFrame(data, f"{ID} string, model string, FuelType string, Year int, kmDriven double, {LABEL} double")
+    monkeypatch.setattr(q_models, "materialized", lambda *_: rows)
+    got = {r.feature_name: r.importance for r in q_models.q_feature_importance(spark, SF_SMALL).collect()}
+    assert got["model"] > 0.99 and set(got) == {"model", "FuelType", "Year", "kmDriven"}
+
+
+def test_labels_of_single_rows_keep_their_index(spark):
+    rows = listings(spark, 60).withColumn("Brand", F.col(ID))
+    prep = prepare_features(rows, partitions=2, tree_labels=None)
+    col, needed = features_for("Gradient Boosting", prep.train)
+    assert prep.features.arities[prep.features.categoricals.index("Brand")] == prep.features.n_rows
+    assert len(set(r[0][0] for r in prep.train.select(INDEXED).collect())) == prep.features.n_rows
+    estimator("Gradient Boosting", col, **needed, maxIter=2).fit(prep.train)

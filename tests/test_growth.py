@@ -12,8 +12,10 @@ from pricelens.operators.tuning import ROWS_AT_ONCE, fits_at_once
 from pricelens.plans import q_models, q_profile, q_wide
 from pricelens.plans.score import score_all
 from pricelens.schema import ID, LABEL
+from pricelens.session import SHUFFLE_CLEANUP, cut_lineage
 from pricelens.sources.artifacts import Artifacts
 from pricelens.sources.listings import raw_listings
+from pricelens.streaming import score_stream
 
 from .conftest import SF_SMALL
 
@@ -115,3 +117,23 @@ def test_labels_of_single_rows_keep_their_index(spark):
     assert prep.features.arities[prep.features.categoricals.index("Brand")] == prep.features.n_rows
     assert len(set(r[0][0] for r in prep.train.select(INDEXED).collect())) == prep.features.n_rows
     estimator("Gradient Boosting", col, **needed, maxIter=2).fit(prep.train)
+
+
+def test_requests_are_scored_in_batches_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(score_stream, "BATCH_BYTES", 1)
+    spark.range(40).repartition(4).selectExpr(f"cast(id as string) {ID}").write.parquet(f"{tmp_path}/in")
+    batches = []
+    stream = score_stream.request_stream(spark, f"{tmp_path}/in").select(ID)
+    query = stream.writeStream.foreachBatch(lambda df, k: batches.append(df.count())).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert len(batches) == 4 and sum(batches) == 40
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def seen():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    before, setting = seen(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    table = cut_lineage(spark.range(1_000).repartition(7).groupBy((F.col("id") % 50).alias("k")).count())
+    assert seen() <= before and spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert table.count() == 50
